@@ -48,4 +48,4 @@ def name_parts(c: Column) -> Column:
     An entry of blanks only counts as filled before the trim and stays as ''.
     """
     parts = F.split(F.regexp_replace(c, r"name:\s*", ""), ",")
-    return F.transform(F.filter(parts, lambda x: x != ""), F.trim)
+    return F.transform(F.filter(parts, lambda x: x != ""), lambda x: F.trim(x))

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from jobgrain.functions.text import contains_any
 
+# The scoring functions travel with the plan, so executors need not have this
+# package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Keyword lists, tested in this order; plain substrings.
 SOFTWARE = "Software Engineering"
 DATA = "Data and Analytics"

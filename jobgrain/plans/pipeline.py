@@ -94,6 +94,21 @@ def audit(store: Warehouse) -> DataFrame:
     return row_counts({name: store.table(name) for name in names})
 
 
+def load(store: Warehouse, cleaned: dict[str, DataFrame], null_safe: bool = False) -> None:
+    """Cleaned tables `{jobs, companies, salaries}` to published layers. Nothing
+    is published unless every table is written and all key checks pass."""
+    raw_tables = {
+        dataset: store.refresh(f"raw.{dataset}", build(cleaned[dataset]))
+        for dataset, build in raw.BUILDERS.items()
+    }
+    load_norm(store, raw_tables, null_safe)
+    load_star(store, null_safe)
+    broken = check(store).where("violations > 0").collect()
+    if broken:
+        raise ValueError(f"key checks failed, nothing published: {broken}")
+    store.commit()
+
+
 def run(
     spark: SparkSession,
     landing: dict[str, str],
@@ -105,29 +120,20 @@ def run(
     json_lines: bool = False,
     log: Callable[[str], None] = print,
 ) -> Warehouse:
-    """Landing folders `{jobs, companies, salaries}` to tables under `root`.
-
-    The steps run one after the other and the first failure ends the job; the
-    tables are published only when all are written and all key checks pass.
-    """
+    """Landing folders `{jobs, companies, salaries}` to tables under `root`. The
+    steps run one after the other and the first failure ends the job."""
     tune(spark)
     run_id = run_id or datetime.now(timezone.utc).strftime("run_%Y%m%d_%H%M%S_%f")
     store = Warehouse(spark, root, run_id)
-    raw_tables = {}
-    for dataset, build in raw.BUILDERS.items():
+    cleaned = {}
+    for dataset in raw.BUILDERS:
         records = read_landing(spark, landing[dataset], dataset, json_lines)
-        cleaned = cleaning.clean(flatten(records, dataset), dataset, on_bad)
+        rows = cleaning.clean(flatten(records, dataset), dataset, on_bad)
         path = f"{store.root}/processed/{dataset}/run_id={run_id}"
-        cleaned.write.mode("overwrite").parquet(path)
-        written = spark.read.schema(cleaned.schema).parquet(path)
-        raw_tables[dataset] = store.refresh(f"raw.{dataset}", build(written))
-        log(f"{dataset}: cleaned and exploded")
-    load_norm(store, raw_tables, null_safe)
-    load_star(store, null_safe)
-    broken = check(store).where("violations > 0").collect()
-    if broken:
-        raise ValueError(f"key checks failed, nothing published: {broken}")
-    store.commit()
+        rows.write.mode("overwrite").parquet(path)
+        cleaned[dataset] = spark.read.schema(rows.schema).parquet(path)
+        log(f"{dataset}: cleaned")
+    load(store, cleaned, null_safe)
     for row in audit(store).collect():
         log(f"{row.table_name}: {row.row_count} rows")
     return store

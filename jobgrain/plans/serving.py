@@ -135,19 +135,25 @@ def predicates(filters: dict[str, str | None]) -> dict[str, list[Column]]:
 
 
 def _filtered(model: PostingModel, keep: list[str], filters: dict[str, str | None]) -> DataFrame:
-    """Fact rows that pass the filters. An attribute of the fact itself is tested
-    before any lookup is joined; a lookup is filtered before it is joined."""
+    """Fact rows that pass the filters. Attributes of the fact itself are tested
+    first; then each lookup that has filters is reduced to the keys that pass and
+    semi-joined, once."""
     rows = model.fact
+    by_owner: dict[str | None, list[str]] = {}
     tests = predicates(filters)
-    for name, conditions in tests.items():
-        owner, column = model.attributes[name]
-        test = reduce(lambda a, b: a & b, conditions)
+    for name in tests:
+        by_owner.setdefault(model.attributes[name][0], []).append(name)
+    for owner, names in sorted(by_owner.items(), key=lambda item: item[0] is not None):
+        test = reduce(lambda a, b: a & b, [t for n in names for t in tests[n]])
+        columns = {n: F.col(model.attributes[n][1]) for n in names}
         if owner is None:
-            rows = rows.withColumn(name, F.col(column)).where(test)
+            rows = rows.withColumns(columns).where(test)
             continue
         lookup = model.lookups[owner]
         chosen = (
-            lookup.table.select(F.col(lookup.key).alias("_key"), F.col(column).alias(name))
+            lookup.table.select(
+                F.col(lookup.key).alias("_key"), *[c.alias(n) for n, c in columns.items()]
+            )
             .where(test)
             .select("_key")
         )
@@ -247,6 +253,13 @@ def named_query(name: str, tables: dict[str, DataFrame]) -> DataFrame:
     return NAMED[name](tables)
 
 
+def row_count(result: DataFrame, dimension: str, metric: str) -> DataFrame:
+    """`(dimension, metric, row_count)` of a result, counted where it lies."""
+    return result.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(dimension).alias("dimension"), F.lit(metric).alias("metric"), "row_count"
+    )
+
+
 def answer(result: DataFrame, dimension: str, metric: str, **filters: str | None) -> dict:
     """A result with its description: metric, filters in use and row count. The
     rows are one per value of the dimension; they are brought to the driver, as a
