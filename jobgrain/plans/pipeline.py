@@ -16,43 +16,47 @@ from jobgrain.sources.warehouse import Warehouse
 
 
 def load_norm(store: Warehouse, raw_tables: dict[str, DataFrame], null_safe: bool = False) -> None:
-    """Append what is new to the normalized tables, lookups before their users."""
+    """Append what is new to the normalized tables: lookups and companies, then
+    the tables that refer to them, then the places of jobs."""
     rc, rj, rs = (raw_tables[n] for n in ("companies", "jobs", "salaries"))
-    old = lambda name: store.existing(f"norm.{name}")
-    add = lambda name, rows: store.append(f"norm.{name}", rows)
-
-    industries = add("industries", norm.industries(rc, old("industries")))
-    categories = add("categories", norm.categories(rj, old("categories")))
-    levels = add("levels", norm.levels(rj, rs, old("levels")))
-    locations = add("locations", norm.locations(rc, rj, rs, old("locations")))
-    companies = add("companies", norm.companies(rc, old("companies")))
-    add(
-        "companies_industries",
-        norm.companies_industries(rc, industries, old("companies_industries")),
+
+    def old(name: str) -> DataFrame:
+        return store.existing(f"norm.{name}")
+
+    def add(**tables: DataFrame) -> list[DataFrame]:
+        return list(store.append_all({f"norm.{n}": t for n, t in tables.items()}).values())
+
+    industries, categories, levels, locations, companies = add(
+        industries=norm.industries(rc, old("industries")),
+        categories=norm.categories(rj, old("categories")),
+        levels=norm.levels(rj, rs, old("levels")),
+        locations=norm.locations(rc, rj, rs, old("locations")),
+        companies=norm.companies(rc, old("companies")),
     )
-    add(
-        "companies_locations",
-        norm.companies_locations(
+    jobs, *_ = add(
+        jobs=norm.jobs(rj, companies, levels, categories, old("jobs")),
+        companies_industries=norm.companies_industries(
+            rc, industries, old("companies_industries")
+        ),
+        companies_locations=norm.companies_locations(
             rc, companies, locations, old("companies_locations"), null_safe
         ),
-    )
-    jobs = add("jobs", norm.jobs(rj, companies, levels, categories, old("jobs")))
-    add(
-        "jobs_locations",
-        norm.jobs_locations(rj, jobs, locations, old("jobs_locations"), null_safe),
-    )
-    add(
-        "salaries",
-        norm.salaries(
+        salaries=norm.salaries(
             rs, companies, levels, categories, locations, old("salaries"), null_safe
         ),
     )
+    add(
+        jobs_locations=norm.jobs_locations(rj, jobs, locations, old("jobs_locations"), null_safe)
+    )
 
 
 def load_star(store: Warehouse, null_safe: bool = False) -> None:
     """Append what is new to the star tables, dimensions before the fact."""
     normalized = {name: store.table(f"norm.{name}") for name in NORM}
-    old = lambda name: store.existing(f"star.{name}")
+
+    def old(name: str) -> DataFrame:
+        return store.existing(f"star.{name}")
+
     new = {
         "dim_companies": star.dim_companies(
             normalized["companies"], normalized["companies_industries"],
@@ -66,7 +70,8 @@ def load_star(store: Warehouse, null_safe: bool = False) -> None:
         "dim_locations": star.dim_locations(normalized["locations"], old("dim_locations")),
         "dim_date": star.dim_date([normalized["jobs"]], old("dim_date")),
     }
-    dims = {name: store.append(f"star.{name}", rows) for name, rows in new.items()}
+    written = store.append_all({f"star.{name}": rows for name, rows in new.items()})
+    dims = {name: written[f"star.{name}"] for name in new}
     fact = star.fact_job_postings(normalized, dims, old("fact_job_postings"), null_safe)
     store.append("star.fact_job_postings", fact)
 
@@ -97,10 +102,9 @@ def audit(store: Warehouse) -> DataFrame:
 def load(store: Warehouse, cleaned: dict[str, DataFrame], null_safe: bool = False) -> None:
     """Cleaned tables `{jobs, companies, salaries}` to published layers. Nothing
     is published unless every table is written and all key checks pass."""
-    raw_tables = {
-        dataset: store.refresh(f"raw.{dataset}", build(cleaned[dataset]))
-        for dataset, build in raw.BUILDERS.items()
-    }
+    exploded = {f"raw.{n}": build(cleaned[n]) for n, build in raw.BUILDERS.items()}
+    written = store.refresh_all(exploded)
+    raw_tables = {n: written[f"raw.{n}"] for n in raw.BUILDERS}
     load_norm(store, raw_tables, null_safe)
     load_star(store, null_safe)
     broken = check(store).where("violations > 0").collect()

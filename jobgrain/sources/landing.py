@@ -55,9 +55,12 @@ def latest_snapshot(df: DataFrame, stamp: Column) -> DataFrame:
     return df.where(stamp.cast("string") == checked.scalar())
 
 
-def read_latest_landing(spark: SparkSession, path: str, dataset: str) -> DataFrame:
-    """Records of the newest stamped file under `path`."""
-    records = read_landing(spark, path, dataset)
+def read_latest_landing(
+    spark: SparkSession, path: str, dataset: str, json_lines: bool = False
+) -> DataFrame:
+    """Records of the newest stamped file (or snapshot folder) that `path`, which
+    may be a glob, holds."""
+    records = read_landing(spark, path, dataset, json_lines)
     return latest_snapshot(records, snapshot_stamp(F.col(f"{ORDER}.file")))
 
 

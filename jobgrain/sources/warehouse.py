@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,7 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.run_id = run_id
         self._committed: list[str] | None = None
+        self._frames: dict[tuple[str, bool], DataFrame] = {}
 
     # -- commits --------------------------------------------------------------
 
@@ -47,18 +50,25 @@ class Warehouse:
 
     def existing(self, name: str) -> DataFrame:
         """Rows of published runs."""
-        return self._visible(name, self.committed())
+        return self._frame(name, with_own=False)
 
     def table(self, name: str) -> DataFrame:
         """Rows of published runs and of this run."""
-        runs = self.committed() + ([self.run_id] if self.run_id else [])
-        return self._visible(name, runs)
+        return self._frame(name, with_own=True)
 
     def register_views(self) -> None:
         """Make every star and norm table a temporary view, for SQL."""
         for name in SCHEMAS:
             self.table(name).createOrReplaceTempView(name.replace(".", "_"))
 
+    def _frame(self, name: str, with_own: bool) -> DataFrame:
+        """Files are listed once per table, and again after this run wrote to it."""
+        key = (name, with_own)
+        if key not in self._frames:
+            own = [self.run_id] if with_own and self.run_id else []
+            self._frames[key] = self._visible(name, self.committed() + own)
+        return self._frames[key]
+
     def _visible(self, name: str, runs: list[str]) -> DataFrame:
         schema = SCHEMAS[name]
         found = self._read(f"{self.root}/{name}", f"{schema}, run_id STRING")
@@ -79,17 +89,31 @@ class Warehouse:
 
     def append(self, name: str, rows: DataFrame) -> DataFrame:
         """Write this run's rows and return the table as the run sees it. Reading
-        back what was written also cuts the lineage for the next step."""
-        writer = rows.write.mode("overwrite")
-        if name in PARTITIONS:
-            writer = writer.partitionBy(*PARTITIONS[name])
+        back what was written also cuts the lineage for the next step. Rows of a
+        partitioned table are first brought together by partition, so that there
+        are few files; Spark splits a partition that is too large for one task."""
+        columns = PARTITIONS.get(name, [])
+        writer = (rows.hint("rebalance", *columns) if columns else rows).write
+        writer = writer.mode("overwrite").partitionBy(*columns)
         writer.parquet(f"{self.root}/{name}/run_id={self.run_id}")
+        self._frames.pop((name, True), None)
         return self.table(name)
 
-    def refresh(self, name: str, rows: DataFrame) -> DataFrame:
-        """Full refresh: this run's rows are the whole table for this run."""
-        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/run_id={self.run_id}")
-        return self._visible(name, [self.run_id])
+    def append_all(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Append to several tables that do not need each other, as jobs that share
+        the cluster."""
+        self.committed()
+        for name in tables:
+            self.existing(name)
+        with ThreadPoolExecutor(len(tables)) as pool:
+            written = pool.map(lambda item: self.append(*item), tables.items())
+            return dict(zip(tables, written))
+
+    def refresh_all(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Full refresh of several tables: this run's rows are all there is for
+        this run."""
+        self.append_all(tables)
+        return {name: self._visible(name, [self.run_id]) for name in tables}
 
 
 def append_rows(df: DataFrame, path: str) -> None:

@@ -47,7 +47,8 @@ def insert_new_within(
 ) -> DataFrame:
     """First arrival per key inside the stream itself. State is dropped once a key
     is older than the delay, so a repeat that comes later is let through."""
-    return rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+    timed = rows.withColumn(event_time, F.col(event_time).cast("timestamp"))
+    return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
 def _ddl(df: DataFrame) -> str:

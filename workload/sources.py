@@ -1,2 +1,173 @@
-QUERIES = {}
-SQL = {}
+"""Readers and writers: what is written from the given tables is read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from jobgrain.functions.text import decode_list
+from jobgrain.plans import raw
+from jobgrain.session import shared_dir
+from jobgrain.sources import landing, processed, warehouse
+from workload import layers
+from workload.common import table
+
+QUERIES, SQL = {}, {}
+
+
+def query(sql: str | None = None):
+    def add(fn):
+        QUERIES[fn.__name__] = fn
+        if sql:
+            SQL[fn.__name__] = sql
+        return fn
+
+    return add
+
+
+# --- landing files ---------------------------------------------------------------------
+
+
+def _job_records(spark, sf):
+    """Orders as nested job records."""
+    named = lambda c: F.array(F.struct(c.alias("name")))
+    return table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.col("o_orderstatus").alias("name"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publication_date"),
+        F.struct(
+            F.col("o_custkey").alias("id"),
+            F.concat(F.lit(" Customer "), F.col("o_custkey").cast("string")).alias("name"),
+        ).alias("company"),
+        named(F.col("o_orderpriority")).alias("levels"),
+        named(F.lit("Austin, TX")).alias("locations"),
+        named(F.lit("x")).alias("categories"),
+    )
+
+
+def _snapshots(spark, sf):
+    """Two snapshots: orders before 1999 and from then on."""
+    root = shared_dir(spark, "landing")
+    records = _job_records(spark, sf)
+    early = F.col("publication_date") < "1999"
+    landing.write_snapshot(records.where(early), root, "20250101_000000")
+    landing.write_snapshot(records.where(~early), root, "20250301_120000")
+    return f"{root}/snapshot_*"
+
+
+_FLAT = """SELECT CAST(o_orderkey AS VARCHAR) AS job_id, CAST(o_custkey AS VARCHAR) AS company_id,
+    o_orderstatus AS job_name, o_orderpriority AS level,
+    strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS publication_date, 'Austin, TX' AS place FROM orders"""
+
+
+def _flat(records):
+    flat = landing.flatten(records, "jobs")
+    return flat.select(
+        "job_id", "company_id", "job_name", "level", "publication_date",
+        F.get("locations", F.lit(0))["name"].alias("place"),
+    )
+
+
+@query(_FLAT)
+def landing_all_snapshots(spark, sf):
+    return _flat(landing.read_landing(spark, _snapshots(spark, sf), "jobs", json_lines=True))
+
+
+@query(f"{_FLAT} WHERE o_orderdate >= DATE '1999-01-01'")
+def landing_latest_snapshot(spark, sf):
+    return _flat(landing.read_latest_landing(spark, _snapshots(spark, sf), "jobs", json_lines=True))
+
+
+@query(
+    """SELECT DISTINCT 'Customer ' || o_custkey AS company_name FROM orders
+       WHERE o_orderdate >= DATE '1999-01-01' ORDER BY 1"""
+)
+def company_names_of_snapshot(spark, sf):
+    records = landing.read_latest_landing(spark, _snapshots(spark, sf), "jobs", json_lines=True)
+    return landing.company_names(records, F.col("company.name"))
+
+
+@query(
+    """SELECT event_id, value FROM events WHERE strftime(ts, '%Y%m%d_%H') =
+         (SELECT max(strftime(ts, '%Y%m%d_%H')) FROM events)"""
+)
+def latest_stamp(spark, sf):
+    events = table(spark, sf, "events")
+    stamp = F.date_format("ts", "yyyyMMdd_HH")
+    return landing.latest_snapshot(events, stamp).select("event_id", "value")
+
+
+@query(
+    """SELECT s_suppkey, 'us' AS _country, s_name AS _company_query FROM supplier"""
+)
+def origin_tags(spark, sf):
+    supplier = table(spark, sf, "supplier").select("s_suppkey", "s_name")
+    return landing.tag_origin(supplier, "us", F.col("s_name")).drop("s_name")
+
+
+@query(
+    """SELECT DISTINCT trim(name, ' ' || chr(9)) AS company_name FROM (SELECT CASE WHEN c_custkey % 3 = 0
+         THEN '  ' WHEN c_custkey % 3 = 1 THEN chr(9) || c_mktsegment || ' ' ELSE c_mktsegment END AS name
+         FROM customer UNION ALL SELECT s_name FROM supplier) WHERE trim(name, ' ' || chr(9)) <> ''"""
+)
+def company_names(spark, sf):
+    key = F.col("c_custkey") % 3
+    given = F.when(key == 0, "  ").when(
+        key == 1, F.concat(F.lit("\t"), "c_mktsegment", F.lit(" "))
+    ).otherwise(F.col("c_mktsegment"))
+    both = table(spark, sf, "customer").select(given.alias("name")).unionByName(
+        table(spark, sf, "supplier").select(F.col("s_name").alias("name"))
+    )
+    return landing.company_names(both, F.col("name"))
+
+
+# --- processed files -----------------------------------------------------------------------
+
+
+@query(layers.SQL["raw_companies"])
+def processed_csv(spark, sf):
+    """Cleaned companies to CSV, read back, exploded."""
+    path = shared_dir(spark, "companies_csv")
+    processed.write_csv(layers.cleaned_companies(spark, sf), path)
+    rows = raw.raw_companies(processed.read_csv(spark, path, "companies"))
+    return rows.withColumn("publication_date", F.to_date("publication_date"))
+
+
+@query(
+    """SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'Coeur d''Alene ' || c_custkey WHEN 1 THEN
+           'say "' || c_mktsegment || '"' WHEN 2 THEN 'é' || c_mktsegment ELSE c_name END AS city,
+         CASE WHEN c_custkey % 2 = 0 THEN 'US-' || c_nationkey END AS state
+       FROM customer WHERE c_custkey % 5 <> 4
+       UNION ALL SELECT c_custkey, NULL, NULL FROM customer WHERE c_custkey % 5 = 4"""
+)
+def literal_lists(spark, sf):
+    """Lists in literal form: mixed quotes, escapes, None; unreadable text is an
+    empty list."""
+    key = F.col("c_custkey")
+    city = F.expr(
+        """CASE c_custkey % 5 WHEN 0 THEN '"Coeur d\\'Alene ' || c_custkey || '"'
+             WHEN 1 THEN '\\'say "' || c_mktsegment || '"\\''
+             WHEN 2 THEN '\\'\\\\xe9' || c_mktsegment || '\\'' ELSE '\\'' || c_name || '\\'' END"""
+    )
+    state = F.when(key % 2 == 0, F.expr("'\\'US-' || c_nationkey || '\\''")).otherwise("None")
+    listed = F.concat(F.lit("[{'subdivision_code': "), state, F.lit(", 'city': "), city, F.lit("}]"))
+    written = F.when(key % 10 == 4, "garbage [").when(key % 10 == 9, " ").otherwise(listed)
+    decoded = decode_list(written, processed.PLACE_TEXT)
+    rows = table(spark, sf, "customer").select("c_custkey", F.explode_outer(decoded).alias("x"))
+    return rows.select("c_custkey", F.col("x.city").alias("city"), F.col("x.subdivision_code").alias("state"))
+
+
+# --- tables ------------------------------------------------------------------------------------
+
+
+@query(
+    """SELECT p_brand, 2 * count(*) AS written FROM part GROUP BY p_brand"""
+)
+def append_and_replace(spark, sf):
+    """Replace a table twice and append to it once."""
+    path = shared_dir(spark, "part")
+    part = table(spark, sf, "part").select("p_partkey", "p_brand")
+    warehouse.replace_rows(part.where("p_brand = 'Brand#1'"), path)
+    warehouse.replace_rows(part, path)
+    warehouse.append_rows(part, path)
+    stored = spark.read.schema(part.schema).parquet(path)
+    return stored.groupBy("p_brand").agg(F.count(F.lit(1)).alias("written"))

@@ -1,2 +1,61 @@
-QUERIES = {}
-SQL = {}
+"""Incremental jobs over the event table as a file stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from jobgrain.session import shared_dir
+from jobgrain.streaming.insert import insert_new, insert_new_within
+from jobgrain.streaming.landing import ingest, landing_stream
+from workload.common import table
+
+QUERIES, SQL = {}, {}
+
+
+def query(sql: str | None = None):
+    def add(fn):
+        QUERIES[fn.__name__] = fn
+        if sql:
+            SQL[fn.__name__] = sql
+        return fn
+
+    return add
+
+
+def _events(spark, sf):
+    schema = table(spark, sf, "events").schema
+    return landing_stream(spark, sf, schema, source="parquet", files="events.parquet"), schema
+
+
+@query("SELECT event_id, user_id, event_type, value FROM events")
+def stream_ingest(spark, sf):
+    events, schema = _events(spark, sf)
+    out = shared_dir(spark, "stream_ingest")
+    ingest(events, f"{out}/table", f"{out}/checkpoint").awaitTermination()
+    stored = spark.read.schema(schema).parquet(f"{out}/table")
+    return stored.select("event_id", "user_id", "event_type", "value")
+
+
+@query(
+    """SELECT event_id, user_id, event_type, value FROM (SELECT *, row_number() OVER (
+         PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1"""
+)
+def stream_insert_new(spark, sf):
+    events, schema = _events(spark, sf)
+    out = shared_dir(spark, "stream_insert")
+    insert_new(
+        events, f"{out}/table", f"{out}/checkpoint", ["user_id", "event_type"], ["ts", "event_id"]
+    ).awaitTermination()
+    stored = spark.read.schema(schema).parquet(f"{out}/table")
+    return stored.select("event_id", "user_id", "event_type", "value")
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def stream_first_within(spark, sf):
+    events, _ = _events(spark, sf)
+    out = shared_dir(spark, "stream_within")
+    first = insert_new_within(events, ["user_id", "event_type"], "ts", "60 days")
+    ingest(
+        first.select("user_id", "event_type"), f"{out}/table", f"{out}/checkpoint"
+    ).awaitTermination()
+    return spark.read.schema("user_id BIGINT, event_type STRING").parquet(f"{out}/table")
