@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -67,8 +67,8 @@ def _first_list_hit(title: Column, lists: dict[str, list[str]]) -> Column:
 
 
 def level(title: Column) -> Column:
-    """Seniority level; NULL for a NULL title."""
-    hit = _first_list_hit(F.lower(title), LEVEL_KEYWORDS)
+    """Seniority level of a lower-case (normalized) title; NULL for a NULL title."""
+    hit = _first_list_hit(title, LEVEL_KEYWORDS)
     return F.when(title.isNotNull(), F.coalesce(hit, F.lit(DEFAULT_LEVEL)))
 
 
@@ -77,16 +77,21 @@ def keyword_category(title: Column) -> Column:
     return _first_list_hit(title, CATEGORY_KEYWORDS)
 
 
-def category(title: Column) -> Column:
-    """Category by keyword, else by the closest keyword, else the default.
+def with_category(df: DataFrame, title: str, into: str) -> DataFrame:
+    """Add the category of a normalized title: by keyword, else by the closest
+    keyword, else the default; NULL for a NULL title.
 
     Only titles that no keyword settles reach the Arrow function, and in there
     each distinct title of a task is scored once. Nothing is shuffled, so a title
     shared by very many rows costs no more than any other.
     """
-    settled = keyword_category(title)
-    open_title = F.when(settled.isNull(), title)
-    return F.coalesce(settled, closest_category(open_title))
+    settled = F.col("_settled")
+    open_title = F.when(settled.isNull(), F.col(title))
+    return (
+        df.withColumn("_settled", keyword_category(F.col(title)))
+        .withColumn(into, F.coalesce(settled, closest_category(open_title)))
+        .drop("_settled")
+    )
 
 
 # --- closeness of a title to a keyword -------------------------------------------

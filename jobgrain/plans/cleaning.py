@@ -19,7 +19,7 @@ from jobgrain.functions.text import (
     strict_id,
     strip,
 )
-from jobgrain.functions.titles import category, level
+from jobgrain.functions.titles import level, with_category
 from jobgrain.operators.rows import ORDER, blanks_to_null, keep_first, require
 
 ID_COLUMNS = {
@@ -94,8 +94,8 @@ def clean_salaries(
     from the area path. Both salary bounds and the company name are required.
     A missing title gives no category and no level."""
     first = keep_first(_typed_ids(df, "salaries", on_bad), ["adz_job_id"], order)
-    title = F.col("_title")
-    cleaned = first.withColumn("_title", normalize_title(F.col("adz_job_name"))).select(
+    titled = first.withColumn("_title", normalize_title(F.col("adz_job_name")))
+    cleaned = with_category(titled, "_title", "categories").select(
         "adz_job_id",
         "company_name",
         "adz_job_name",
@@ -105,8 +105,8 @@ def clean_salaries(
         parse_number(F.col("salary_min")).alias("salary_min"),
         parse_number(F.col("salary_max")).alias("salary_max"),
         F.col("salary_is_predicted").try_cast("int").alias("salary_is_predicted"),
-        category(title).alias("categories"),
-        level(title).alias("level"),
+        "categories",
+        level(F.col("_title")).alias("level"),
     )
     return finish(cleaned, ["salary_min", "salary_max", "company_name"])
 

@@ -1,9 +1,10 @@
 """Questions over the star tables.
 
 A `PostingModel` is a fact table, its lookup tables and where each attribute
-lives. A query joins only the lookups its dimension and filters need, and it
-reduces the fact by the dimension's key before the dimension is joined, so the
-join sees one row per key (and job) instead of every fact row.
+lives. A query joins only the lookups its dimension and filters need. Sums are
+taken per dimension key before the dimension is joined, so a key that holds a
+large share of the rows reaches the join as one row. Distinct jobs are counted
+per value and job first and then per value, both with map-side reduction.
 """
 
 from __future__ import annotations
@@ -173,10 +174,9 @@ def job_count(model: PostingModel, dimension: str, **filters: str | None) -> Dat
     """Distinct jobs per value of a dimension, largest first. NULL is a value of
     its own, and ties are ordered by the value."""
     check_request(dimension, COUNT_DIMENSIONS, filters)
-    key, job = _dimension_key(model, dimension), model.attributes["job_id"][1]
-    pairs = _filtered(model, [key, job], filters).distinct()
+    keep = [_dimension_key(model, dimension), model.attributes["job_id"][1]]
     return (
-        model.attach(pairs, [dimension, "job_id"], keep=[])
+        model.attach(_filtered(model, keep, filters), [dimension, "job_id"], keep=[])
         .groupBy(dimension)
         .agg(F.count_distinct("job_id").alias("job_count"))
         .orderBy(F.desc_nulls_first("job_count"), F.asc_nulls_last(dimension))

@@ -6,10 +6,9 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from jobgrain.functions import geo, text, titles
-from jobgrain.functions.text import SPACE_CLASS
 from jobgrain.operators import lists, quality, rows
 from jobgrain.plans import cleaning
-from workload.common import table
+from workload.common import SPACE_CLASS, table
 
 QUERIES, SQL = {}, {}
 
@@ -332,7 +331,7 @@ def _fuzzy_sql() -> str:
 
 @query(_fuzzy_sql())
 def title_category(spark, sf):
-    return _titles(spark, sf).select("kind", "id", titles.category(F.col("title")).alias("category"))
+    return titles.with_category(_titles(spark, sf), "title", "category").drop("title")
 
 
 # --- places ------------------------------------------------------------------------
