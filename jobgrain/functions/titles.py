@@ -98,7 +98,7 @@ def with_category(df: DataFrame, title: str, into: str) -> DataFrame:
 
 _KEYWORDS = [(word, label) for label, words in CATEGORY_KEYWORDS.items() for word in words]
 _CHUNK_CHARS = 1_000_000  # characters scored together; bounds the memory of a task
-_MEMO_TITLES = 100_000  # distinct titles a task remembers
+_MEMO_CHARS = 20_000_000  # characters of scored titles a task remembers
 
 
 def _common_subsequence(needle: np.ndarray, hay: np.ndarray) -> np.ndarray:
@@ -207,10 +207,12 @@ def closest_labels(titles: list[str]) -> list[str]:
 def closest_category(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Category by closest keyword; NULL stays NULL."""
     memo: dict[str, str] = {}
+    held = 0
     for titles in batches:
-        new = [t for t in titles.dropna().unique() if t not in memo]
-        if len(memo) + len(new) > _MEMO_TITLES:
-            memo = {}
-            new = list(titles.dropna().unique())
+        distinct = titles.dropna().unique()
+        new = [t for t in distinct if t not in memo]
+        held += sum(map(len, new))
+        if held > _MEMO_CHARS:
+            memo, new, held = {}, list(distinct), sum(map(len, distinct))
         memo.update(zip(new, closest_labels(new)))
         yield titles.map(memo).astype(object).where(titles.notna(), None)

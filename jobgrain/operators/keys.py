@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from jobgrain.operators.rows import one_per_key
 
-ID_BUCKETS = 4096  # three hexadecimal digits of a digest
+ID_BUCKETS = 1 << 20  # five hexadecimal digits of a digest
 
 
 def next_after(existing: DataFrame, id_column: str) -> Column:
@@ -22,7 +22,7 @@ def with_ids(
 ) -> DataFrame:
     """Number rows that are unique on `keys`; ids are above `after` and unique.
 
-    A digest of the key spreads the rows evenly over 4,096 buckets; a row's id
+    A digest of the key spreads the rows evenly over 2^20 buckets; a row's id
     is its rank inside the bucket times the number of buckets plus the bucket.
     So numbering runs in parallel, needs one shuffle and no second pass, gives
     the same ids when a lost task is repeated, and cannot collide as a hash id
@@ -30,7 +30,7 @@ def with_ids(
     """
     after = F.lit(after) if isinstance(after, int) else after
     digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
-    bucket = F.conv(F.substring(digest, 1, 3), 16, 10).cast("bigint")
+    bucket = F.conv(F.substring(digest, 1, 5), 16, 10).cast("bigint")
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_digest", *keys))
     numbered = df.withColumns({"_digest": digest, "_bucket": bucket}).withColumn(
         "_rank", rank

@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobgrain.operators.quality import duplicate_keys, orphans, row_counts
+from jobgrain.operators.quality import duplicate_keys, orphans, repeated_keys, row_counts
 from jobgrain.plans import cleaning, norm, raw, star
 from jobgrain.schemas import FOREIGN_KEYS, NORM, STAR, UNIQUE_KEYS
 from jobgrain.session import tune
@@ -76,15 +76,22 @@ def load_star(store: Warehouse, null_safe: bool = False) -> None:
     store.append("star.fact_job_postings", fact)
 
 
-def check(store: Warehouse) -> DataFrame:
-    """`(table_name, check_name, violations)` for every declared key."""
+def check(store: Warehouse, everything: bool = False) -> DataFrame:
+    """`(table_name, check_name, violations)` for every declared key: of the rows
+    this run added, against all rows, or (`everything`) of all rows."""
+    rows = store.table if everything else store.added
     checks = {}
     for name, keys in UNIQUE_KEYS.items():
-        checks[f"{name}|unique({', '.join(keys)})"] = duplicate_keys(store.table(name), keys)
+        label = f"{name}|unique({', '.join(keys)})"
+        if everything:
+            checks[label] = duplicate_keys(store.table(name), keys)
+        else:
+            checks[label] = repeated_keys(store.added(name), store.existing(name), keys)
     for name, references in FOREIGN_KEYS.items():
+        children = rows(name)
         for column, parent, parent_column in references:
             checks[f"{name}|{column} -> {parent}"] = orphans(
-                store.table(name), column, store.table(parent), parent_column
+                children, column, store.table(parent), parent_column
             )
     return row_counts(checks).selectExpr(
         "split_part(table_name, '|', 1) AS table_name",

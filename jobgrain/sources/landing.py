@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,21 +12,41 @@ from jobgrain.operators.rows import ORDER, with_input_order
 from jobgrain.schemas import FLAT_FIELDS, LANDING
 
 STAMP_PATTERN = r"_(\d{8}_\d{6})"
+_STAMP = re.compile(STAMP_PATTERN)
 
 
-def read_landing(
-    spark: SparkSession, path: str | list[str], dataset: str, json_lines: bool = False
+def _scan(
+    spark: SparkSession, path: str | list[str], dataset: str, json_lines: bool
 ) -> DataFrame:
-    """All records of all files, with their input order. A malformed file fails
-    the job. An array file is read by one task, so write many files of moderate
-    size, or JSON lines, which split."""
-    records = (
+    return (
         spark.read.schema(LANDING[dataset])
         .option("multiLine", not json_lines)
         .option("mode", "FAILFAST")
         .json(path)
     )
-    return with_input_order(records)
+
+
+def read_landing(
+    spark: SparkSession, path: str | list[str], dataset: str, json_lines: bool = False
+) -> DataFrame:
+    """All records of all files, with their input order. A malformed file fails
+    the job. An array file is read by one task, so write many files of moderate
+    size, or JSON lines, which split."""
+    return with_input_order(_scan(spark, path, dataset, json_lines))
+
+
+def read_latest_landing(
+    spark: SparkSession, path: str, dataset: str, json_lines: bool = False
+) -> DataFrame:
+    """Records of the newest stamped file (or snapshot folder) that `path`, which
+    may be a glob, holds. The newest stamp comes from the file names, and the
+    filter on the file path leaves the other files unread."""
+    records = _scan(spark, path, dataset, json_lines)
+    stamps = [found.group(1) for found in map(_STAMP.search, records.inputFiles()) if found]
+    if not stamps:
+        raise FileNotFoundError(f"no stamped {dataset} file under {path}")
+    newest = snapshot_stamp(F.col("_metadata.file_path")) == max(stamps)
+    return with_input_order(records.where(newest))
 
 
 def flatten(records: DataFrame, dataset: str) -> DataFrame:
@@ -55,15 +77,6 @@ def latest_snapshot(df: DataFrame, stamp: Column) -> DataFrame:
     return df.where(stamp.cast("string") == checked.scalar())
 
 
-def read_latest_landing(
-    spark: SparkSession, path: str, dataset: str, json_lines: bool = False
-) -> DataFrame:
-    """Records of the newest stamped file (or snapshot folder) that `path`, which
-    may be a glob, holds."""
-    records = read_landing(spark, path, dataset, json_lines)
-    return latest_snapshot(records, snapshot_stamp(F.col(f"{ORDER}.file")))
-
-
 def write_snapshot(df: DataFrame, path: str, stamp: str) -> str:
     """Write records as JSON lines into a folder named by the stamp."""
     target = f"{path.rstrip('/')}/snapshot_{stamp}"

@@ -56,6 +56,10 @@ class Warehouse:
         """Rows of published runs and of this run."""
         return self._frame(name, with_own=True)
 
+    def added(self, name: str) -> DataFrame:
+        """Rows of this run only."""
+        return self._visible(name, [self.run_id])
+
     def register_views(self) -> None:
         """Make every star and norm table a temporary view, for SQL."""
         for name in SCHEMAS:
@@ -113,7 +117,7 @@ class Warehouse:
         """Full refresh of several tables: this run's rows are all there is for
         this run."""
         self.append_all(tables)
-        return {name: self._visible(name, [self.run_id]) for name in tables}
+        return {name: self.added(name) for name in tables}
 
 
 def append_rows(df: DataFrame, path: str) -> None:

@@ -166,6 +166,9 @@ def test_first_record_of_the_input_order_wins(spark, tmp_path):
     assert [r.job_name for r in cleaning.clean(records, "jobs").collect()] == ["first 0"]
     latest = landing.read_latest_landing(spark, str(folder), "jobs")
     assert {r.name for r in latest.collect()} == {"second 0", "second 1", "second 2"}
+    (folder / "unstamped.json").write_text("[]")
+    with pytest.raises(FileNotFoundError):
+        landing.read_latest_landing(spark, str(folder / "unstamped.json"), "jobs")
 
 
 def test_bad_ids_fail_or_are_set_aside(spark, tmp_path):
@@ -184,7 +187,7 @@ def test_a_job_without_level_or_a_broken_file_fails(spark, tmp_path):
     with pytest.raises(PySparkException):
         flat(spark, tmp_path, "jobs", [{**FIRST, "levels": []}]).collect()
     (tmp_path / "jobs" / "broken_20250102_000000.json").write_text('[{"id": 1, "name": "x"')
-    with pytest.raises(PySparkException):
+    with pytest.raises(Exception, match="broken_20250102"):
         landing.read_landing(spark, str(tmp_path / "jobs"), "jobs").collect()
 
 

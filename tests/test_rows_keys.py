@@ -110,6 +110,10 @@ def test_quality(spark):
     parent = spark.createDataFrame([(1,)], "id int")
     assert [tuple(r) for r in quality.orphans(child, "k", parent, "id").collect()] == [(3, 1)]
     assert [tuple(r) for r in quality.duplicate_keys(child, ["k"]).collect()] == [(1, 2)]
+    new = spark.createDataFrame([(1, None), (2, None), (2, None), (3, 1)], "k int, n int")
+    old = spark.createDataFrame([(1, None), (9, 1)], "k int, n int")
+    repeated = quality.repeated_keys(new, old, ["k", "n"]).collect()
+    assert sorted(tuple(r) for r in repeated) == [(1, None, 1), (2, None, 2)]
     profile = {r.column_name: r.null_count for r in quality.null_profile(child).collect()}
     assert profile == {"k": 1, "(total)": 1}
 

@@ -25,13 +25,13 @@ def query(sql: str | None = None):
 
 
 def _id_sql(table_sql: str, columns: list[str], after: str = "0") -> str:
-    """The id rule: rank inside a digest bucket, times 4096, plus the bucket."""
+    """The id rule: rank inside a digest bucket, times 2^20, plus the bucket."""
     digest = f"md5(concat_ws('|', {', '.join(f'CAST({c} AS VARCHAR)' for c in columns)}))"
-    bucket = f"CAST('0x' || substr({digest}, 1, 3) AS BIGINT)"
+    bucket = f"CAST('0x' || substr({digest}, 1, 5) AS BIGINT)"
     order = ", ".join([digest, *columns])
     return (
         f"SELECT CAST({after} + (row_number() OVER (PARTITION BY {bucket} ORDER BY {order}) - 1)"
-        f" * 4096 + {bucket} + 1 AS BIGINT) AS id, * FROM ({table_sql})"
+        f" * 1048576 + {bucket} + 1 AS BIGINT) AS id, * FROM ({table_sql})"
     )
 
 

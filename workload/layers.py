@@ -528,4 +528,4 @@ _CHECKS = [(t, f"unique({', '.join(keys)})") for t, keys in UNIQUE_KEYS.items()]
     + ") AS v(table_name, check_name)"
 )
 def layer_key_checks(spark, sf):
-    return pipeline.check(warehouse(spark, sf))
+    return pipeline.check(warehouse(spark, sf), everything=True)
