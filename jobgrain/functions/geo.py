@@ -238,8 +238,10 @@ def country_key(c: Column) -> Column:
 
 def normalize_country(c: Column, countries: Column | None = None) -> Column:
     """ISO alpha-2 code of a country name or code, NULL when unknown."""
-    countries = country_map() if countries is None else countries
-    key = country_key(c)
+    return _code_of_key(country_map() if countries is None else countries, country_key(c))
+
+
+def _code_of_key(countries: Column, key: Column) -> Column:
     return countries[F.substring(key, 1, 1)][key]
 
 
@@ -268,12 +270,26 @@ def places_from_names(locations: Column) -> Column:
     nothing = F.lit(None).cast("string")
     countries = country_map()
 
+    # Each step keeps what the next one uses more than once.
     def read(x: Column) -> Column:
         name = strip(x["name"])
+        return F.struct(name.alias("name"), split_trimmed(name).alias("parts"))
+
+    def keyed(x: Column) -> Column:
+        region = F.when(F.size(x["parts"]) == 2, F.get(x["parts"], F.lit(1)))
+        return F.struct(
+            x["name"].alias("name"),
+            x["parts"].alias("parts"),
+            country_key(x["name"]).alias("key"),
+            country_key(region).alias("region_key"),
+        )
+
+    def found(x: Column) -> Column:
         return F.struct(
-            name.alias("name"),
-            normalize_country(name, countries).alias("country"),
-            split_trimmed(name).alias("parts"),
+            x["name"].alias("name"),
+            x["parts"].alias("parts"),
+            x["region_key"].alias("region_key"),
+            _code_of_key(countries, x["key"]).alias("country"),
         )
 
     def place(x: Column) -> Column:
@@ -294,7 +310,7 @@ def places_from_names(locations: Column) -> Column:
             )
             .otherwise(
                 _place(
-                    F.coalesce(normalize_country(region, countries), region),
+                    F.coalesce(_code_of_key(countries, x["region_key"]), region),
                     nothing,
                     normalize_city(first),
                 )
@@ -302,7 +318,8 @@ def places_from_names(locations: Column) -> Column:
         )
 
     named = F.filter(F.transform(locations, read), lambda x: x["name"] != "")
-    return F.coalesce(F.transform(named, place), F.array().cast(f"array<{PLACE_TYPE}>"))
+    places = F.transform(F.transform(F.transform(named, keyed), found), place)
+    return F.coalesce(places, F.array().cast(f"array<{PLACE_TYPE}>"))
 
 
 def places_from_area(area: Column) -> Column:

@@ -18,13 +18,13 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 def repeated_keys(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once in the new rows, or there and in the old
     ones, with `row_count` over the new rows. Two NULL key parts are equal."""
-    counted = new.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
-    known = old.select(*[F.col(k).alias(f"_o_{k}") for k in keys]).withColumn("_old", F.lit(True))
-    same = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in keys]
+    both = new.select(*keys, F.lit(1).alias("_new")).unionByName(
+        old.select(*keys, F.lit(0).alias("_new"))
     )
-    found = counted.join(known, same, "left")
-    return found.where("row_count > 1 OR _old").select(*keys, "row_count").distinct()
+    counted = both.groupBy(*keys).agg(
+        F.sum("_new").alias("row_count"), F.count(F.lit(1)).alias("_all")
+    )
+    return counted.where("row_count > 0 AND _all > 1").drop("_all")
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:

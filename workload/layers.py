@@ -118,6 +118,18 @@ def cleaned_salaries(spark, sf):
     )
 
 
+def load(spark, sf) -> Warehouse:
+    """Load the layers into a new warehouse."""
+    store = Warehouse(spark, shared_dir(spark, "layers"), "run_1")
+    cleaned = {
+        "companies": cleaned_companies(spark, sf),
+        "jobs": cleaned_jobs(spark, sf),
+        "salaries": cleaned_salaries(spark, sf),
+    }
+    pipeline.load(store, cleaned)
+    return store
+
+
 _built: dict[tuple, Warehouse] = {}
 
 
@@ -125,14 +137,7 @@ def warehouse(spark, sf) -> Warehouse:
     """The layers for one scale factor, loaded once per session."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _built:
-        store = Warehouse(spark, shared_dir(spark, "layers"), "run_1")
-        cleaned = {
-            "companies": cleaned_companies(spark, sf),
-            "jobs": cleaned_jobs(spark, sf),
-            "salaries": cleaned_salaries(spark, sf),
-        }
-        pipeline.load(store, cleaned)
-        _built[key] = store
+        _built[key] = load(spark, sf)
     return _built[key]
 
 
