@@ -52,6 +52,7 @@ class PostingModel:
     fact: DataFrame
     lookups: dict[str, Lookup]
     attributes: dict[str, tuple[str | None, str]] = field(default_factory=dict)
+    month_partitions: tuple[str, str] | None = None  # year and month columns of the fact
 
     def view(self, names: list[str]) -> DataFrame:
         """The fact with the named attributes and only the lookups they need."""
@@ -98,6 +99,7 @@ def star_model(tables: dict[str, DataFrame]) -> PostingModel:
             "salary_min": (None, "salary_min"),
             "salary_max": (None, "salary_max"),
         },
+        month_partitions=("year", "month"),
     )
 
 
@@ -135,11 +137,28 @@ def predicates(filters: dict[str, str | None]) -> dict[str, list[Column]]:
     return out
 
 
+def _months(model: PostingModel, filters: dict[str, str | None]) -> list[Column]:
+    """Date filters as conditions on the partition columns of the fact, so that
+    only the months in question are read."""
+    if not model.month_partitions:
+        return []
+    year, month = map(F.col, model.month_partitions)
+    at = year * 12 + month
+    out = []
+    for name, compare in (("start_date", at.__ge__), ("end_date", at.__le__)):
+        if filters.get(name):
+            day = F.lit(filters[name]).cast("date")
+            out.append(compare(F.year(day) * 12 + F.month(day)))
+    return out
+
+
 def _filtered(model: PostingModel, keep: list[str], filters: dict[str, str | None]) -> DataFrame:
     """Fact rows that pass the filters. Attributes of the fact itself are tested
     first; then each lookup that has filters is reduced to the keys that pass and
     semi-joined, once."""
     rows = model.fact
+    for test in _months(model, filters):
+        rows = rows.where(test)
     by_owner: dict[str | None, list[str]] = {}
     tests = predicates(filters)
     for name in tests:

@@ -51,13 +51,17 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.select(*out).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, dataset: str) -> DataFrame:
-    """Processed CSV as a cleaned table with native lists."""
+def read_csv(
+    spark: SparkSession, path: str, dataset: str, line_breaks: bool = True
+) -> DataFrame:
+    """Processed CSV as a cleaned table with native lists. A file whose cells may
+    hold line breaks is read by one task; without them (`line_breaks=False`, true
+    of what `write_csv` writes from cleaned tables) files are split."""
     columns = CSV_COLUMNS[dataset]
     text = (
         spark.read.schema(", ".join(f"{c} STRING" for c in columns))
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", line_breaks)
         .option("escape", '"')
         .csv(path)
     )

@@ -19,7 +19,7 @@ def tables(spark):
             ],
             "fact_id int, job_key bigint, company_key bigint, location_key bigint, date_key bigint, "
             "level_key bigint, salary_min double, salary_max double",
-        ).selectExpr("*", "CAST(level_key AS BIGINT) AS category_key"),
+        ).selectExpr("*", "level_key AS category_key", "2025 AS year", "CAST(date_key AS INT) AS month"),
         "dim_jobs": make([(1, 11, "Data Dev"), (2, 12, "Support"), (3, 13, "dev_ops")], "job_key bigint, job_id bigint, name string"),
         "dim_companies": make(
             [(1, 1, "Acme", None, "Large Size", "Tech"), (2, 2, "Zed", None, None, None)],

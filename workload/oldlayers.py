@@ -219,6 +219,16 @@ def tables(spark, sf):
 PLACE = {"city": "city", "subdivision_code": "state", "country_code": "country"}
 
 
+@query(
+    _sql(
+        """SELECT DISTINCT company_id AS id, description, company_name AS name,
+             CAST(publication_date AS DATE) AS publication_date, size FROM raw_companies"""
+    )
+)
+def old_companies(spark, sf):
+    return tables(spark, sf)["companies"].withColumn("publication_date", F.to_date("publication_date"))
+
+
 @query(_sql("SELECT id, company_id, name, level, publication_date FROM jobs"))
 def old_jobs(spark, sf):
     return tables(spark, sf)["jobs"].withColumn("publication_date", F.to_date("publication_date"))
@@ -251,6 +261,23 @@ def old_jobs_categories(spark, sf):
     ).drop("category_id")
 
 
+@query(
+    _sql(
+        f"""SELECT DISTINCT company_id, l.city, l.state, l.country FROM (
+              SELECT company_name, {_place('locations', 'part')} FROM (
+                SELECT company_name, locations, {_parts('locations')} AS part FROM raw_companies)) r
+            JOIN raw_companies USING (company_name) JOIN locations l ON l.city = r.city
+              AND l.state IS NOT DISTINCT FROM r.state AND l.country IS NOT DISTINCT FROM r.country
+            WHERE r.city <> ''"""
+    )
+)
+def old_companies_locations(spark, sf):
+    t = tables(spark, sf)
+    return lookup(
+        t["companies_locations"], t["locations"], [("location_id", "id")], PLACE
+    ).drop("location_id")
+
+
 @query(_sql("SELECT job_id, city, state, country FROM jobs_locations"))
 def old_jobs_locations(spark, sf):
     t = tables(spark, sf)

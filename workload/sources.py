@@ -128,7 +128,7 @@ def processed_csv(spark, sf):
     """Cleaned companies to CSV, read back, exploded."""
     path = shared_dir(spark, "companies_csv")
     processed.write_csv(layers.cleaned_companies(spark, sf), path)
-    rows = raw.raw_companies(processed.read_csv(spark, path, "companies"))
+    rows = raw.raw_companies(processed.read_csv(spark, path, "companies", line_breaks=False))
     return rows.withColumn("publication_date", F.to_date("publication_date"))
 
 
