@@ -73,13 +73,14 @@ def blank_to_null(spark, sf):
 
 
 @query(
-    """SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN NULL ELSE string_split(p_name, ' ') END AS words
-       FROM part"""
+    """SELECT p_partkey, CASE WHEN p_size % 3 <> 0 THEN array_to_string(string_split(p_name, ' '), '+') END
+         AS words FROM part"""
 )
 def empty_list_to_null(spark, sf):
     none = F.array().cast("array<string>")
     words = F.when(F.col("p_size") % 3 == 0, none).otherwise(F.split("p_name", " "))
-    return rows.blanks_to_null(table(spark, sf, "part").select("p_partkey", words.alias("words")))
+    lists_ = rows.blanks_to_null(table(spark, sf, "part").select("p_partkey", words.alias("words")))
+    return lists_.select("p_partkey", F.array_join("words", "+").alias("words"))
 
 
 @query(
