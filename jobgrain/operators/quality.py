@@ -63,3 +63,18 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+def violations(checks: dict[str, DataFrame]) -> DataFrame:
+    """`(check_name, violations)` of several checks, each a table with one row per
+    violation. The rows of all checks are counted together, map-side first."""
+    found = reduce(
+        DataFrame.unionByName,
+        [df.select(F.lit(name).alias("check_name")) for name, df in checks.items()],
+    )
+    counted = found.groupBy("check_name").agg(F.count(F.lit(1)).alias("found"))
+    one = found.sparkSession.range(0, 1, 1, 1)
+    names = one.select(F.explode(F.array(*map(F.lit, checks))).alias("check_name"))
+    return names.join(counted, "check_name", "left").select(
+        "check_name", F.coalesce("found", F.lit(0)).alias("violations")
+    )

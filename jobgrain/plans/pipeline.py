@@ -7,7 +7,13 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobgrain.operators.quality import duplicate_keys, orphans, repeated_keys, row_counts
+from jobgrain.operators.quality import (
+    duplicate_keys,
+    orphans,
+    repeated_keys,
+    row_counts,
+    violations,
+)
 from jobgrain.plans import cleaning, norm, raw, star
 from jobgrain.schemas import FOREIGN_KEYS, NORM, STAR, UNIQUE_KEYS
 from jobgrain.session import tune
@@ -79,24 +85,25 @@ def load_star(store: Warehouse, null_safe: bool = False) -> None:
 def check(store: Warehouse, everything: bool = False) -> DataFrame:
     """`(table_name, check_name, violations)` for every declared key: of the rows
     this run added, against all rows, or (`everything`) of all rows."""
-    rows = store.table if everything else store.added
+    names = [f"norm.{n}" for n in NORM] + [f"star.{n}" for n in STAR]
+    tables = {name: store.table(name) for name in names}
+    checked = tables if everything else {name: store.added(name) for name in names}
     checks = {}
     for name, keys in UNIQUE_KEYS.items():
         label = f"{name}|unique({', '.join(keys)})"
         if everything:
-            checks[label] = duplicate_keys(store.table(name), keys)
+            checks[label] = duplicate_keys(checked[name], keys)
         else:
-            checks[label] = repeated_keys(store.added(name), store.existing(name), keys)
+            checks[label] = repeated_keys(checked[name], store.existing(name), keys)
     for name, references in FOREIGN_KEYS.items():
-        children = rows(name)
         for column, parent, parent_column in references:
             checks[f"{name}|{column} -> {parent}"] = orphans(
-                children, column, store.table(parent), parent_column
+                checked[name], column, tables[parent], parent_column
             )
-    return row_counts(checks).selectExpr(
-        "split_part(table_name, '|', 1) AS table_name",
-        "split_part(table_name, '|', 2) AS check_name",
-        "row_count AS violations",
+    return violations(checks).selectExpr(
+        "split_part(check_name, '|', 1) AS table_name",
+        "split_part(check_name, '|', 2) AS check_name",
+        "violations",
     )
 
 

@@ -381,7 +381,7 @@ def country_lookup(spark, sf):
     return df.withColumn("code", geo.normalize_country(F.col("given"), geo.country_map(spark)))
 
 
-_MUSE_SQL = f"""
+_FREE_TEXT_SQL = f"""
   WITH given AS (SELECT c_custkey, trim(unnest([{_PICK.format('c_custkey')},
       {_PICK.format('c_custkey // 16')}]), ' ') AS name FROM {_CUSTOMER}),
   parts AS (SELECT c_custkey, name, string_split(name, ',') AS p FROM given WHERE name <> ''),
@@ -403,7 +403,7 @@ _MUSE_SQL = f"""
   FROM known"""
 
 
-@query(_MUSE_SQL)
+@query(_FREE_TEXT_SQL)
 def free_text_locations(spark, sf):
     given = F.expr(
         f"array(named_struct('name', {_PICK.format('c_custkey')}), "

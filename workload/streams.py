@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from jobgrain.session import shared_dir
 from jobgrain.streaming.insert import insert_new, insert_new_within
