@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobgrain.llm import decontaminate
+from jobgrain.llm import decontaminate, secretscan
 from jobgrain.llm.shared import table
 
 QUERIES, SQL = {}, {}
@@ -42,3 +42,22 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(items, 256).alias("items_sha256"),
         decontaminate.contaminated(r).alias("contaminated"),
     )
+
+
+@query()
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = F.col("found")["spans"]
+    kinds = [rule[0] for rule in secretscan.BASE_RULES]
+    base = F.filter(spans, lambda s: s["kind"].isin(kinds))
+
+    def count(kind):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return secretscan.find_secrets(docs).select(
+        "doc_id",
+        *map(count, kinds),
+        F.sha2(secretscan.spans_text(base), 256).alias("base_sha256"),
+        secretscan.spans_text(spans).alias("spans"),
+    )
