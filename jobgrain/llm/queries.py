@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobgrain.llm import decontaminate, secretscan
+from jobgrain.llm import decontaminate, mixing, secretscan
 from jobgrain.llm.shared import table
 
 QUERIES, SQL = {}, {}
@@ -61,3 +61,47 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secretscan.spans_text(base), 256).alias("base_sha256"),
         secretscan.spans_text(spans).alias("spans"),
     )
+
+
+MIX_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce('0' || source, '1') AS src,
+    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
+    md5(concat_ws('|', CAST(doc_id AS VARCHAR), text)) AS digest
+  FROM documents
+), s AS (
+  SELECT src, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY src) AS rank
+  FROM d GROUP BY src
+), w AS (
+  SELECT src, source_size, 2 * source_size AS cap, [3, 1, 2][1 + (rank - 1) % 3] AS weight FROM s
+), r AS (
+  SELECT *, cap / CAST(weight AS DOUBLE) AS ratio FROM w
+), f AS (
+  SELECT *, row_number() OVER o AS place,
+    (1.5 * sum(source_size) OVER () - (sum(cap) OVER o - cap))
+      / CAST(sum(weight) OVER () - (sum(weight) OVER o - weight) AS DOUBLE) AS level
+  FROM r WINDOW o AS (ORDER BY ratio, src ROWS UNBOUNDED PRECEDING)
+), t AS (
+  SELECT src, source_size, coalesce(least(CAST(cap AS DOUBLE), weight
+    * (SELECT arg_min(level, place) FROM f WHERE level <= ratio)), CAST(cap AS DOUBLE)) AS target
+  FROM f
+), q AS (
+  SELECT *, sum(size) OVER (PARTITION BY src ORDER BY digest, size ROWS UNBOUNDED PRECEDING) AS words
+  FROM d JOIN t USING (src)
+), c AS (
+  SELECT *, CASE WHEN target > 0 THEN (words + turn * source_size) / target ELSE 0 END AS finish
+  FROM q, (VALUES (0), (1)) AS turns(turn)
+), g AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, src, digest, size, turn ROWS UNBOUNDED PRECEDING) AS total
+  FROM c
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+  CAST(sum(CASE WHEN total <= 1.5 * (SELECT sum(size) FROM d) THEN size ELSE 0 END) AS BIGINT) AS taken
+FROM g GROUP BY doc_id, src, digest, size, source_size, target
+"""
+
+
+@query(MIX_SQL)
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    return mixing.mix(table(spark, sf_dir, "documents"))
