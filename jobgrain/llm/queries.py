@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobgrain.llm import decontaminate, mixing, secretscan
+from jobgrain.llm import decontaminate, mixing, secretscan, toxicity
 from jobgrain.llm.shared import table
 
 QUERIES, SQL = {}, {}
@@ -105,3 +105,16 @@ FROM g GROUP BY doc_id, src, digest, size, source_size, target
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared(spark)
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (toxicity.fold(F.col("doc_id")) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
