@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobgrain.llm import decontaminate, mixing, secretscan, toxicity
+from jobgrain.llm import decontaminate, mixing, secretscan, similarjoin, toxicity
 from jobgrain.llm.shared import table
 
 QUERIES, SQL = {}, {}
@@ -118,3 +118,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    docs = table(spark, sf_dir, "documents")
+    found = similarjoin.similar_documents(docs)
+    return found.select("doc_id", "class_id", "n_links", "n_copies")
