@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobgrain.llm import decontaminate, mixing, secretscan, similarjoin, toxicity
+from jobgrain.llm import decontaminate, lmscore, mixing, secretscan, similarjoin, tokencount, toxicity
 from jobgrain.llm.shared import table
 
 QUERIES, SQL = {}, {}
@@ -126,3 +126,17 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = similarjoin.similar_documents(docs)
     return found.select("doc_id", "class_id", "n_links", "n_copies")
+
+
+@query()
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokencount.count_tokens(docs).select("doc_id", "counted.n_pretokens", "counted.n_tokens")
+
+
+@query()
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lmscore.score_documents(docs, table(spark, sf_dir, "labels"))
