@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobgrain.llm import chatformat, decontaminate, lmscore, mixing, secretscan, similarjoin, tokencount, toxicity
+from jobgrain.llm import annsearch, chatformat, decontaminate, lmscore, mixing, secretscan, similarjoin, tokencount, toxicity
 from jobgrain.llm.shared import table
 
 QUERIES, SQL = {}, {}
@@ -171,3 +171,12 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chatformat.read_back(chatformat.format_conversations(turns.unionByName(added)))
+
+
+@query()
+def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    found = annsearch.nearest_neighbours(
+        table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20
+    )
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
