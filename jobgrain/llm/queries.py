@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobgrain.llm import annsearch, chatformat, decontaminate, lmscore, mixing, secretscan, similarjoin, tokencount, toxicity
+from jobgrain.llm import annsearch, chatformat, decontaminate, htmlextract, lmscore
+from jobgrain.llm import mixing, secretscan, similarjoin, tokencount, toxicity
 from jobgrain.llm.shared import table
 
 QUERIES, SQL = {}, {}
@@ -180,3 +181,11 @@ def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20
     )
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+@query()
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = htmlextract.extract_main_text(pages, htmlextract.train(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
