@@ -469,8 +469,9 @@ def similar_documents(
         F.when(F.col("set").isNull(), F.col("id")).otherwise(F.col("smallest.id")).alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"),
         F.coalesce("copies", F.lit(1)).alias("n_copies"),
-        F.coalesce(
-            (F.col("smallest.digest") == F.col("digest")) & F.col("smallest.id").eqNullSafe(F.col("id")),
-            F.lit(True),
-        ).alias("keeps"),
+        F.when(F.col("set").isNull(), F.lit(True))
+        .otherwise(
+            (F.col("smallest.digest") == F.col("digest")) & F.col("smallest.id").eqNullSafe(F.col("id"))
+        )
+        .alias("keeps"),
     )
