@@ -10,11 +10,21 @@ from pyspark.sql import functions as F
 from jobgrain.functions.text import none_text_to_null
 
 
+# What marks a name in a text list, and the signs around a text list.
+NAME_MARK = r"name:\s*"
+LIST_SIGNS = "[]{}"
+_SPACES = " \t\n\r\x0b\f"
+
+
 def value_of_key(c: Column, key: str) -> Column:
-    """Text between `key:` and the next comma; of several, the last. Text without
-    the key comes back unchanged. 'None' and blanks around are dropped."""
-    found = F.regexp_replace(c, rf"(?s).*{key}:\s*([^,]+).*", "$1")
-    return none_text_to_null(F.trim(found))
+    """Text between `key:` and the next comma; of several, the last that is not
+    empty. Text without such a value comes back unchanged. 'None' and blanks around
+    are dropped."""
+    pieces = F.split(c, f"{key}:")
+    values = F.transform(F.slice(pieces, 2, F.size(pieces)), lambda x: F.substring_index(x, ",", 1))
+    filled = F.filter(values, lambda x: x != "")
+    last = F.ltrim(F.get(filled, F.size(filled) - 1), F.lit(_SPACES))
+    return none_text_to_null(F.trim(F.coalesce(last, c)))
 
 
 def value_of_first_key(guard: Column, c: Column, keys: list[str]) -> Column:
@@ -37,9 +47,9 @@ def place_of(guard: Column, c: Column) -> dict[str, Column]:
 
 
 def location_parts(c: Column) -> Column:
-    """Array of location texts: brackets and braces go first, and the split looks
-    for them afterwards, so in effect the text stays whole."""
-    return F.split(F.regexp_replace(c, r"(\[|\]|\{|\})", ""), r"},|],")
+    """The location text without brackets and braces, as an array of one: a text with
+    several places stays whole."""
+    return F.when(c.isNotNull(), F.array(F.translate(c, LIST_SIGNS, "")))
 
 
 def name_parts(c: Column) -> Column:
@@ -47,5 +57,5 @@ def name_parts(c: Column) -> Column:
 
     An entry of blanks only counts as filled before the trim and stays as ''.
     """
-    parts = F.split(F.regexp_replace(c, r"name:\s*", ""), ",")
+    parts = F.split(F.regexp_replace(c, NAME_MARK, ""), ",")
     return F.transform(F.filter(parts, lambda x: x != ""), lambda x: F.trim(x))

@@ -30,7 +30,8 @@ def companies(raw: DataFrame) -> DataFrame:
 
 
 def jobs(raw: DataFrame, companies: DataFrame) -> DataFrame:
-    """Jobs of known companies."""
+    """Jobs of known companies. The ids are shuffled once more, so that Spark can
+    split the jobs of one company."""
     batch = raw.select(
         F.col("job_id").alias("id"),
         "company_id",
@@ -38,7 +39,8 @@ def jobs(raw: DataFrame, companies: DataFrame) -> DataFrame:
         "level",
         F.col("publication_date").cast("timestamp_ntz").alias("publication_date"),
     ).distinct()
-    return lookup(batch, companies.select("id").distinct(), [("company_id", "id")], {})
+    known = companies.select("id").distinct().hint("rebalance", "id")
+    return lookup(batch, known, [("company_id", "id")], {})
 
 
 def names(raw: DataFrame, text: str) -> DataFrame:
@@ -168,10 +170,16 @@ def dim_date(jobs: DataFrame, companies: DataFrame) -> DataFrame:
     return with_ids(days.distinct(), ["full_date"], "date_key")
 
 
-def fact_job_postings(norm: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFrame:
-    """Distinct postings with a salary: every salary of the company at the place
-    of the job. Salaries are reduced to distinct values per company and place
-    first."""
+def fact_job_postings(
+    norm: dict[str, DataFrame], dims: dict[str, DataFrame], every_salary: bool = False
+) -> DataFrame:
+    """Distinct postings with a salary: the lowest and highest bound that the company
+    offers at the place of the job, one row per job and place.
+
+    `every_salary` gives the older rule instead: a row for every distinct salary of
+    the company there. Its rows grow with jobs times salaries of a company and place,
+    so it is for small tables only.
+    """
     jobs = norm["jobs"].withColumn("full_date", F.to_date("publication_date"))
     bounds = ["salary_min", "salary_max"]
     paid = (
@@ -180,6 +188,11 @@ def fact_job_postings(norm: dict[str, DataFrame], dims: dict[str, DataFrame]) ->
         .select("company_id", "location_id", *bounds)
         .distinct()
     )
+    if not every_salary:
+        paid = paid.groupBy("company_id", "location_id").agg(
+            F.min("salary_min").alias("salary_min"), F.max("salary_max").alias("salary_max")
+        )
+    paid = paid.hint("rebalance", "company_id", "location_id")  # lets Spark split hot postings
     places = lookup(
         norm["locations"], dims["dim_locations"],
         [("city", "city"), ("subdivision_code", "state"), ("country_code", "country")],

@@ -20,8 +20,8 @@ _DATES = {
     "old_dim_date": "full_date",
     **dict.fromkeys(
         [
-            "raw_companies", "raw_jobs", "norm_companies", "norm_jobs", "norm_jobs_locations",
-            "star_dim_jobs", "star_fact", "old_companies", "old_jobs", "old_fact", "processed_csv",
+            "raw_companies", "raw_jobs", "raw_salaries", "norm_companies", "norm_jobs", "norm_jobs_locations",
+            "star_dim_jobs", "star_fact", "old_companies", "old_jobs", "old_fact", "old_fact_bounds", "processed_csv",
         ],
         "publication_date",
     ),

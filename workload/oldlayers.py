@@ -92,7 +92,7 @@ def _place(guard: str, c: str) -> str:
 
 
 def _parts(c: str) -> str:
-    return f"unnest(string_split_regex(regexp_replace({c}, '(\\[|\\]|\\{{|\\}})', '', 'g'), '}},|],'))"
+    return f"translate({c}, '[]{{}}', '')"
 
 
 def _names(c: str) -> str:
@@ -324,7 +324,22 @@ def old_dim_date(spark, sf):
 @query(_sql("SELECT * FROM fact"))
 def old_fact(spark, sf):
     t = tables(spark, sf)
-    fact = legacy.fact_job_postings(t, t)
+    return _shown(legacy.fact_job_postings(t, t, every_salary=True), t)
+
+
+@query(
+    _sql(
+        """SELECT job_id, category, company_id, industry, city, state, country, publication_date,
+             min(salary_min) AS salary_min, max(salary_max) AS salary_max FROM fact GROUP BY ALL"""
+    )
+)
+def old_fact_bounds(spark, sf):
+    t = tables(spark, sf)
+    return _shown(legacy.fact_job_postings(t, t), t)
+
+
+def _shown(fact, t):
+    """Names in place of keys."""
     for dim, key, take in [
         ("dim_jobs", "job_key", {"job_id": "job_id", "category": "category"}),
         ("dim_companies", "company_key", {"company_id": "company_id", "industry": "industry"}),
