@@ -15,7 +15,8 @@ def insert_new(
     rows: DataFrame, table: str, checkpoint: str, keys: list[str], order: list[str]
 ) -> StreamingQuery:
     """Append rows whose key the table lacks; of several rows of one batch the
-    first in the given order is taken.
+    first in the given order is taken. However late a key comes, it is kept: what
+    is known is the table itself, not state that a watermark would drop.
 
     Each batch writes a folder of its own, named by the batch number, and compares
     only with earlier batches. So a batch that is run again after a failure
@@ -42,14 +43,5 @@ def insert_new(
     )
 
 
-def insert_new_within(
-    rows: DataFrame, keys: list[str], event_time: str, delay: str
-) -> DataFrame:
-    """First arrival per key inside the stream itself. State is dropped once a key
-    is older than the delay, so a repeat that comes later is let through."""
-    timed = rows.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
-
-
 def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)

@@ -20,13 +20,14 @@ def landing_stream(
     files_per_batch: int = 1000,
 ) -> DataFrame:
     """Stream of the records of new files. A batch takes a bounded number of
-    files. With `archive`, consumed files are moved there when a later batch
-    finishes."""
+    files. A malformed file fails the stream, so none of its batch is stored and it
+    does not count as consumed. With `archive`, consumed files are moved there when
+    a later batch finishes."""
     reader = (
         spark.readStream.format(source).schema(schema).option("maxFilesPerTrigger", files_per_batch)
     )
     if source == "json":
-        reader = reader.option("multiLine", not json_lines)
+        reader = reader.option("multiLine", not json_lines).option("mode", "FAILFAST")
     if files:
         reader = reader.option("pathGlobFilter", files)
     if archive:

@@ -1,6 +1,9 @@
 import json
 import os
 
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from jobgrain.schemas import LANDING
 from jobgrain.streaming.insert import insert_new
 from jobgrain.streaming.landing import ingest, ingest_landing, landing_stream
@@ -68,3 +71,31 @@ def test_plain_ingest_keeps_every_row(spark, tmp_path):
     stream = landing_stream(spark, source, "k string, v int", source="parquet")
     ingest(stream, str(tmp_path / "table"), str(tmp_path / "cp")).awaitTermination()
     assert spark.read.schema("k string, v int").parquet(str(tmp_path / "table")).count() == 2
+
+
+def test_a_malformed_file_fails_the_stream_and_stays(spark, tmp_path):
+    folder, archive = tmp_path / "in", tmp_path / "archive"
+    folder.mkdir()
+    (folder / "jobs_20250101_000000.json").write_text('[{"id": "1", "name": "a"}, {broken')
+    stream = ingest_landing(
+        spark, str(folder), "jobs", str(tmp_path / "table"), str(tmp_path / "cp"), str(archive)
+    )
+    with pytest.raises(StreamingQueryException):
+        stream.awaitTermination()
+    assert (folder / "jobs_20250101_000000.json").exists() and not archive.exists()
+    drop(str(folder), "20250101_000000", JOBS)  # mended
+    ingest_landing(
+        spark, str(folder), "jobs", str(tmp_path / "table"), str(tmp_path / "cp"), str(archive)
+    ).awaitTermination()
+    assert spark.read.schema(LANDING["jobs"]).parquet(str(tmp_path / "table")).count() == len(JOBS)
+
+
+def test_late_keys_are_kept(spark, tmp_path):
+    source, table = str(tmp_path / "src"), str(tmp_path / "table")
+    for day, key in (("2025-01-10", "a"), ("2025-01-20", "b"), ("2025-01-02", "late")):
+        df = spark.createDataFrame([(key, day)], "k string, day string").coalesce(1)
+        df.write.mode("append").parquet(source)
+    stream = landing_stream(spark, source, "k string, day string", source="parquet", files_per_batch=1)
+    insert_new(stream, table, str(tmp_path / "cp"), ["k"], ["day"]).awaitTermination()
+    found = spark.read.schema("k string, day string").parquet(table)
+    assert sorted(r.k for r in found.collect()) == ["a", "b", "late"]
