@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
+from jobgrain.operators.rows import ORDER
 from jobgrain.operators.quality import (
     duplicate_keys,
     orphans,
@@ -139,19 +140,28 @@ def run(
     log: Callable[[str], None] = print,
 ) -> Warehouse:
     """Landing folders `{jobs, companies, salaries}` to tables under `root`. The
-    steps run one after the other and the first failure ends the job."""
+    steps run one after the other and the first failure ends the job. With
+    `on_bad="quarantine"` rows with a missing or malformed id are stored aside, as
+    they came, and counted with the tables."""
     tune(spark)
     run_id = run_id or datetime.now(timezone.utc).strftime("run_%Y%m%d_%H%M%S_%f")
     store = Warehouse(spark, root, run_id)
     cleaned = {}
     for dataset in raw.BUILDERS:
         records = read_landing(spark, landing[dataset], dataset, json_lines)
-        rows = cleaning.clean(flatten(records, dataset), dataset, on_bad)
+        flat = flatten(records, dataset)
+        if on_bad == "quarantine":
+            store.quarantine(dataset, cleaning.rejected(flat, dataset).drop(ORDER))
+        rows = cleaning.clean(flat, dataset, on_bad)
         path = f"{store.root}/processed/{dataset}/run_id={run_id}"
         rows.write.mode("overwrite").parquet(path)
         cleaned[dataset] = spark.read.schema(rows.schema).parquet(path)
         log(f"{dataset}: cleaned")
     load(store, cleaned, null_safe)
-    for row in audit(store).collect():
+    counts = audit(store)
+    if on_bad == "quarantine":
+        set_aside = {f"quarantine.{n}": store.quarantined(n) for n in raw.BUILDERS}
+        counts = counts.unionByName(row_counts(set_aside))
+    for row in counts.collect():
         log(f"{row.table_name}: {row.row_count} rows")
     return store

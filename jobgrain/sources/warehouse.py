@@ -22,29 +22,44 @@ class Warehouse:
     """Parquet tables under one root, each partitioned by the run that added the
     rows. A run's rows are visible to readers only after its commit, one row in a
     small commit table, so readers see a load as a whole or not at all, and a
-    repeated or failed run leaves nothing half done."""
+    failed run may be repeated. A published run may not: later runs refer to the
+    ids it gave. The raw tables are those of the last published run alone."""
 
     def __init__(self, spark: SparkSession, root: str, run_id: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.run_id = run_id
         self._committed: list[str] | None = None
+        if run_id is not None and run_id in self.committed():
+            raise ValueError(f"run {run_id!r} is published already; take a new run id")
         self._frames: dict[tuple[str, bool], DataFrame] = {}
 
     # -- commits --------------------------------------------------------------
 
     def committed(self) -> list[str]:
-        """Ids of published runs (one small row per run). They are read once, so
-        all reads through one object see the same state."""
+        """Ids of published runs, oldest first (one small row per run). They are read
+        once, so all reads through one object see the same state."""
         if self._committed is None:
-            log = self._read(f"{self.root}/_commits", "run_id STRING")
+            log = self._read(f"{self.root}/_commits", "run_id STRING, number BIGINT")
             rows = [] if log is None else log.distinct().collect()
-            self._committed = sorted(r.run_id for r in rows if r.run_id != self.run_id)
+            rows = sorted(rows, key=lambda r: (r.number or 0, r.run_id))
+            self._committed = [r.run_id for r in rows if r.run_id != self.run_id]
         return self._committed
 
     def commit(self) -> None:
-        row = self.spark.range(0, 1, 1, 1).select(F.lit(self.run_id).alias("run_id"))
+        """Publish this run, then drop the raw rows of earlier ones."""
+        earlier = self.committed()
+        row = self.spark.range(0, 1, 1, 1).select(
+            F.lit(self.run_id).alias("run_id"), F.lit(len(earlier) + 1).cast("bigint").alias("number")
+        )
         row.write.mode("append").json(f"{self.root}/_commits")
+        for name in RAW:
+            for run in earlier:
+                self._drop(f"{self.root}/raw.{name}/run_id={run}")
+
+    def _drop(self, path: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
     # -- reading ----------------------------------------------------------------
 
@@ -70,9 +85,15 @@ class Warehouse:
         key = (name, with_own)
         if key not in self._frames:
             own = [self.run_id] if with_own and self.run_id else []
-            self._frames[key] = self._visible(name, self.committed() + own)
+            runs = self.committed() + own
+            if name.startswith("raw."):  # a refresh: the newest rows that there are
+                runs = own if own and self._has(name, own[0]) else self.committed()[-1:]
+            self._frames[key] = self._visible(name, runs)
         return self._frames[key]
 
+    def _has(self, name: str, run: str) -> bool:
+        return self._read(f"{self.root}/{name}/run_id={run}", SCHEMAS[name]) is not None
+
     def _visible(self, name: str, runs: list[str]) -> DataFrame:
         schema = SCHEMAS[name]
         found = self._read(f"{self.root}/{name}", f"{schema}, run_id STRING")
@@ -114,11 +135,19 @@ class Warehouse:
             return dict(zip(tables, written))
 
     def refresh_all(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        """Full refresh of several tables: this run's rows are all there is for
-        this run."""
+        """Full refresh of several raw tables: once this run is published, its rows
+        are all there are."""
         self.append_all(tables)
         return {name: self.added(name) for name in tables}
 
+    def quarantine(self, dataset: str, rows: DataFrame) -> None:
+        """Store rows that this run sets aside."""
+        rows.write.mode("overwrite").parquet(f"{self.root}/quarantine/{dataset}/run_id={self.run_id}")
+
+    def quarantined(self, dataset: str) -> DataFrame:
+        """Rows that this run has set aside."""
+        return self.spark.read.parquet(f"{self.root}/quarantine/{dataset}/run_id={self.run_id}")
+
 
 def append_rows(df: DataFrame, path: str) -> None:
     """Append rows to a plain Parquet table."""

@@ -143,6 +143,29 @@ def test_broken_keys_are_not_published(spark, tmp_path, monkeypatch):
     assert Warehouse(spark, str(tmp_path / "tables")).committed() == []
 
 
+def test_a_published_run_is_not_run_again(spark, loaded):
+    with pytest.raises(ValueError, match="published"):
+        Warehouse(spark, str(loaded[0] / "tables"), "run_1")
+
+
+def test_raw_is_that_of_the_last_load(spark, loaded):
+    store = Warehouse(spark, str(loaded[0] / "tables"))
+    assert store.table("raw.jobs").count() == 6
+    assert {r.adz_job_id for r in store.table("raw.salaries").collect()} == {502}
+    folders = {p.name for p in (loaded[0] / "tables" / "raw.jobs").iterdir() if p.is_dir()}
+    assert folders == {"run_id=run_3"}
+
+
+def test_bad_rows_are_set_aside_and_counted(spark, tmp_path):
+    bad = dict(JOBS[4], id="none")
+    paths = land(tmp_path / "landing", companies=COMPANIES, jobs=JOBS + [bad], salaries=SALARIES)
+    said = []
+    store = pipeline.run(spark, paths, str(tmp_path / "tables"), "run_1", on_bad="quarantine", log=said.append)
+    assert [(r.job_id, r.job_name) for r in store.quarantined("jobs").collect()] == [("none", "Intern")]
+    assert "quarantine.jobs: 1 rows" in said and "quarantine.salaries: 0 rows" in said
+    assert counts(store) == FIRST_LOAD
+
+
 # --- cleaning ---------------------------------------------------------------------------
 
 

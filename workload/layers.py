@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from jobgrain.operators.joins import lookup
+from jobgrain.operators.quality import duplicate_keys, orphans, row_counts, violations
 from jobgrain.plans import pipeline, raw, serving
 from jobgrain.schemas import FOREIGN_KEYS, NORM, STAR, UNIQUE_KEYS
 from jobgrain.session import shared_dir
@@ -141,6 +142,27 @@ def warehouse(spark, sf) -> Warehouse:
     return _built[key]
 
 
+def loaded_again(spark, sf) -> Warehouse:
+    """Three loads of one warehouse: the jobs and salaries of even orders, then
+    everything (so jobs with new places, later salaries, known companies), then
+    everything once more."""
+    key = (spark.sparkContext.applicationId, sf, "again")
+    if key not in _built:
+        root = shared_dir(spark, "layers_again")
+        companies, jobs = cleaned_companies(spark, sf), cleaned_jobs(spark, sf)
+        salaries = cleaned_salaries(spark, sf)
+        some = {
+            "companies": companies.where("company_id % 3 <> 0"),
+            "jobs": jobs.where("job_id % 2 = 0"),
+            "salaries": salaries.where("adz_job_id % 2 = 0"),
+        }
+        every = {"companies": companies, "jobs": jobs, "salaries": salaries}
+        for run, cleaned in (("run_1", some), ("run_2", every), ("run_3", every)):
+            _built[key] = Warehouse(spark, root, run)
+            pipeline.load(_built[key], cleaned)
+    return _built[key]
+
+
 # --- the same in SQL ---------------------------------------------------------------------
 
 
@@ -203,7 +225,7 @@ raw_salaries AS (
       CASE l_linenumber % 4 WHEN 0 THEN upper(s_name) WHEN 1 THEN ' ' || s_name || ' '
         WHEN 2 THEN s_name ELSE 'Nobody' END AS company_name,
       ' Title ' || (l_partkey % 5) || ' ' AS adz_job_name, l_extendedprice AS salary_min,
-      l_extendedprice + l_quantity AS salary_max,
+      l_extendedprice + l_quantity AS salary_max, l_shipdate AS shipped,
       CASE l_linenumber % 3 WHEN 0 THEN 'Software Engineering ' WHEN 1 THEN 'Data and Analytics' END
         AS categories,
       CASE l_returnflag WHEN 'A' THEN 'Senior Level' WHEN 'N' THEN 'Mid Level' END AS level
@@ -296,15 +318,15 @@ def raw_jobs(spark, sf):
 
 @query(
     _sql(
-        """SELECT adz_job_id, company_name, adz_job_name, location_city, location_state, location_country,
-             salary_min, salary_max, categories, level FROM raw_salaries""",
+        """SELECT adz_job_id, company_name, adz_job_name, 'IT Jobs' AS adz_category, CAST(shipped AS DATE)
+             AS publication_date, location_city, location_state, location_country, salary_min, salary_max,
+             CAST(0 AS INTEGER) AS salary_is_predicted, categories, level FROM raw_salaries""",
         RAW_SQL,
     )
 )
 def raw_salaries(spark, sf):
-    return raw.raw_salaries(cleaned_salaries(spark, sf)).drop(
-        "adz_category", "publication_date", "salary_is_predicted"
-    )
+    rows = raw.raw_salaries(cleaned_salaries(spark, sf))
+    return rows.withColumn("publication_date", F.to_date("publication_date"))
 
 
 # --- normalized -------------------------------------------------------------------------------
@@ -527,6 +549,41 @@ _CHECKS = [(t, f"unique({', '.join(keys)})") for t, keys in UNIQUE_KEYS.items()]
 ]
 
 
+@query(SQL["layer_row_counts"])
+def layers_second_load(spark, sf):
+    """What a part of the data, all of it and all of it again leave behind."""
+    return pipeline.audit(loaded_again(spark, sf))
+
+
+@query(
+    _sql(
+        """SELECT 'raw.companies' AS table_name, count(*) AS row_count FROM raw_companies UNION ALL
+           SELECT 'raw.jobs', count(*) FROM raw_jobs UNION ALL SELECT 'raw.salaries', count(*) FROM raw_salaries""",
+        RAW_SQL,
+    )
+)
+def raw_after_two_loads(spark, sf):
+    """The raw tables after several loads are those of the last load alone."""
+    store = Warehouse(spark, loaded_again(spark, sf).root)  # as a later reader
+    return row_counts({f"raw.{n}": store.table(f"raw.{n}") for n in raw.BUILDERS})
+
+
+@query(
+    """SELECT 'unique' AS check_name, count(*) AS violations FROM (SELECT o_custkey FROM orders GROUP BY 1
+         HAVING count(*) > 1) UNION ALL
+       SELECT 'reference', count(DISTINCT o_custkey) FROM orders WHERE o_custkey % 3 = 0"""
+)
+def planted_key_violations(spark, sf):
+    """Key checks over orders: customers with several, and those left out of the parent."""
+    orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
+    return violations(
+        {
+            "unique": duplicate_keys(orders, ["o_custkey"]),
+            "reference": orphans(orders, "o_custkey", customer.where("c_custkey % 3 <> 0"), "c_custkey"),
+        }
+    )
+
+
 @query(
     "SELECT table_name, check_name, CAST(0 AS BIGINT) AS violations FROM (VALUES "
     + ", ".join(f"('{t}', '{c}')" for t, c in _CHECKS)

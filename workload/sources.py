@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from jobgrain.functions.text import decode_list
-from jobgrain.plans import raw
+from jobgrain.operators.joins import lookup
+from jobgrain.plans import pipeline, raw
+from jobgrain.schemas import LANDING
 from jobgrain.session import shared_dir
 from jobgrain.sources import landing, processed, warehouse
+from jobgrain.streaming.landing import ingest_landing
 from workload import layers
 from workload.common import table
 
@@ -120,6 +123,102 @@ def company_names(spark, sf):
     return landing.company_names(both, F.col("name"))
 
 
+# --- the whole job, from array files ---------------------------------------------------------
+
+
+def _arrays(spark, records, name: str, root: str) -> str:
+    """Records as files that hold one JSON array each, of a hundred records or so."""
+    files = records.withColumn("_file", F.floor(F.abs(F.xxhash64("id")) % (1 + records.count() // 100)))
+    text = F.to_json(F.struct(*records.columns))
+    arrays = files.groupBy("_file").agg(F.array_join(F.sort_array(F.collect_list(text)), ",\n").alias("x"))
+    arrays = arrays.select("_file", F.concat(F.lit("["), "x", F.lit("]")).alias("value"))
+    arrays.repartition("_file").write.partitionBy("_file").text(f"{root}/{name}")
+    return f"{root}/{name}/_file=*"
+
+
+def _all_arrays(spark, sf, bad: bool = False):
+    """Suppliers, orders and line items as landing records. Even orders are in a known
+    place; with `bad` every fifth order has an id that is no number."""
+    root = shared_dir(spark, "arrays")
+    named = lambda c: F.array(F.struct(c.alias("name")))
+    key = F.col("o_orderkey")
+    ident = F.when(key % 5 == 0, F.concat(F.lit("x"), key.cast("string"))).otherwise(key.cast("string"))
+    jobs = table(spark, sf, "orders").select(
+        (ident if bad else key.cast("string")).alias("id"),
+        F.concat_ws(" ", "o_orderpriority", "o_orderstatus").alias("name"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publication_date"),
+        F.struct(F.expr("CAST(o_custkey DIV 12 AS STRING)").alias("id"), F.lit("x").alias("name")).alias("company"),
+        named(F.col("o_orderpriority")).alias("levels"),
+        named(F.when(key % 2 == 0, "Austin, TX").otherwise("Berlin, Germany")).alias("locations"),
+        named(F.concat(F.lit("Cat "), "o_orderstatus")).alias("categories"),
+    )
+    companies = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("id"),
+        F.col("s_name").alias("name"),
+        F.lit(" about\n it ").alias("description"),
+        F.lit("2024-01-01T00:00:00Z").alias("publication_date"),
+        F.struct(F.lit("Small Size").alias("name")).alias("size"),
+        named(F.lit("Austin, TX")).alias("locations"),
+        named(F.lit("Tech")).alias("industries"),
+    )
+    salaries = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("id"),
+        F.lit("Senior Data Analyst").alias("title"),
+        F.lit("2024-02-01T00:00:00Z").alias("created"),
+        F.struct(F.concat(F.lit(" "), F.upper("s_name")).alias("display_name")).alias("company"),
+        F.struct(F.lit("IT").alias("label"), F.lit("it").alias("tag")).alias("category"),
+        F.struct(F.lit("x").alias("display_name"), F.array(*map(F.lit, ("US", "Texas", "Austin"))).alias("area")).alias("location"),
+        F.col("s_suppkey").cast("string").alias("salary_min"),
+        (F.col("s_suppkey") + 10).cast("string").alias("salary_max"),
+        F.lit("0").alias("salary_is_predicted"),
+    )
+    records = {"jobs": jobs, "companies": companies, "salaries": salaries}
+    return root, {name: _arrays(spark, df, name, root) for name, df in records.items()}
+
+
+_KNOWN_JOBS = """SELECT o_orderpriority AS entry_level, o_orderpriority || ' ' || o_orderstatus AS name,
+    bool_or(o_orderkey % 2 = 0) AS placed FROM orders
+  WHERE o_custkey // 12 IN (SELECT s_suppkey FROM supplier) {more}
+  GROUP BY o_custkey // 12, o_orderpriority, o_orderstatus, o_orderdate"""
+
+
+@query(
+    f"""SELECT CASE WHEN placed THEN 'Austin' END AS city, entry_level, count(*) AS facts
+        FROM ({_KNOWN_JOBS.format(more='')}) GROUP BY ALL"""
+)
+def pipeline_run(spark, sf):
+    """Array files through cleaning and all layers to the star tables."""
+    root, paths = _all_arrays(spark, sf)
+    store = pipeline.run(spark, paths, f"{root}/tables", "run_1", log=lambda line: None)
+    fact = store.table("star.fact_job_postings")
+    fact = lookup(fact, store.table("star.dim_locations"), [("location_key", "location_key")], {"city": "city"}, "left")
+    fact = lookup(fact, store.table("star.dim_levels"), [("level_key", "level_key")], {"level": "entry_level"})
+    return fact.groupBy("city", "entry_level").agg(F.count(F.lit(1)).alias("facts"))
+
+
+@query(
+    """SELECT 'x' || o_orderkey AS job_id, CAST(o_custkey // 12 AS VARCHAR) AS company_id FROM orders
+       WHERE o_orderkey % 5 = 0"""
+)
+def quarantined_rows(spark, sf):
+    """Rows with a malformed id, set aside by a run that goes on without them."""
+    root, paths = _all_arrays(spark, sf, bad=True)
+    store = pipeline.run(
+        spark, paths, f"{root}/tables", "run_1", on_bad="quarantine", log=lambda line: None
+    )
+    return store.quarantined("jobs").select("job_id", "company_id")
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority || ' ' || o_orderstatus AS name FROM orders")
+def landing_archived(spark, sf):
+    """Array files taken by the stream, batch by batch, and moved to an archive."""
+    root, paths = _all_arrays(spark, sf)
+    ingest_landing(
+        spark, paths["jobs"], "jobs", f"{root}/stored", f"{root}/checkpoint", archive=f"{root}/archive"
+    ).awaitTermination()
+    return spark.read.schema(LANDING["jobs"]).parquet(f"{root}/stored").select("id", "name")
+
+
 # --- processed files -----------------------------------------------------------------------
 
 
