@@ -191,11 +191,13 @@ def _dimension_key(model: PostingModel, dimension: str) -> str:
 
 def job_count(model: PostingModel, dimension: str, **filters: str | None) -> DataFrame:
     """Distinct jobs per value of a dimension, largest first. NULL is a value of
-    its own, and ties are ordered by the value."""
+    its own, and ties are ordered by the value. The postings are reduced to one per
+    dimension key and job before the dimension is joined."""
     check_request(dimension, COUNT_DIMENSIONS, filters)
     keep = [_dimension_key(model, dimension), model.attributes["job_id"][1]]
+    pairs = _filtered(model, keep, filters).distinct()
     return (
-        model.attach(_filtered(model, keep, filters), [dimension, "job_id"], keep=[])
+        model.attach(pairs, [dimension, "job_id"], keep=[])
         .groupBy(dimension)
         .agg(F.count_distinct("job_id").alias("job_count"))
         .orderBy(F.desc_nulls_first("job_count"), F.asc_nulls_last(dimension))
@@ -279,20 +281,22 @@ def row_count(result: DataFrame, dimension: str, metric: str) -> DataFrame:
     )
 
 
-def answer(result: DataFrame, dimension: str, metric: str, **filters: str | None) -> dict:
-    """A result with its description: metric, filters in use and row count. The
-    rows are one per value of the dimension; they are brought to the driver, as a
-    service that answers a request does."""
-    rows = [row.asDict() for row in result.collect()]
-    meta = {
-        "dimension": dimension,
-        "metric": metric,
-        "filters": {k: v for k, v in filters.items() if v is not None},
-        "row_count": len(rows),
-    }
-    if metric == "job_count":
-        meta["aggregation"] = "count_distinct"
-    return {"meta": meta, "data": rows}
+def answer(
+    result: DataFrame, dimension: str, metric: str, **filters: str | None
+) -> dict[str, DataFrame]:
+    """A result and its description, both as tables: `meta` has one row with the
+    dimension, metric, filters in use, row count and kind of aggregation (NULL but
+    for counts). Nothing is brought to the driver."""
+    used = [F.lit(x) for name, value in filters.items() if value is not None for x in (name, value)]
+    none = F.create_map().cast("map<string,string>")
+    meta = row_count(result, dimension, metric).select(
+        "dimension",
+        "metric",
+        (F.create_map(*used) if used else none).alias("filters"),
+        "row_count",
+        F.lit("count_distinct" if metric == "job_count" else None).cast("string").alias("aggregation"),
+    )
+    return {"meta": meta, "data": result}
 
 
 # --- views for SQL ---------------------------------------------------------------------

@@ -144,8 +144,11 @@ def fact_job_postings(
         [("location_id", "location_id")], {"location_key": "location_key"}, "left",
     )
     match = ["company_id", "location_id", "level_id", "category_id"]
+    # Postings of one large employer may be many rows of one key. Spark splits them
+    # only if the other side is not itself grouped by the key, hence the shuffle.
+    newest = newest_salaries(norm["salaries"]).hint("rebalance", *match)
     paid = lookup(
-        keyed, newest_salaries(norm["salaries"]), [(c, c) for c in match],
+        keyed, newest, [(c, c) for c in match],
         {"salary_min": "salary_min", "salary_max": "salary_max"}, "left",
     )
     rows = paid.select(*FACT_KEYS, "salary_min", "salary_max", "year", "month")

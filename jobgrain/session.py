@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -49,14 +48,9 @@ def build_session(
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder path that every executor can reach.
 
-    It lies under the folder the cluster names in `spark.checkpoint.dir`. Only
-    where that is unset and the master is local does it fall back to a temporary
-    folder of this machine.
+    It lies under the folder the cluster names in `spark.checkpoint.dir`.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a shared folder")
-        root = tempfile.mkdtemp(prefix="jobgrain-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise ValueError("set spark.checkpoint.dir to a shared folder")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

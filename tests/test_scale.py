@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from jobgrain.operators import keys, rows
 from jobgrain.operators.joins import lookup
-from jobgrain.plans import serving, star
+from jobgrain.plans import legacy, serving, star
 from jobgrain.schemas import STAR
 from jobgrain.sources.warehouse import Warehouse
 
@@ -71,6 +71,35 @@ def test_a_hot_key_is_split_in_the_anti_join(no_broadcast):
     assert "skew=true" in final_plan(new)
 
 
+def test_a_hot_key_is_split_beside_a_grouped_side(no_broadcast):
+    spark = no_broadcast
+    salaries = spark.range(40_000).selectExpr(
+        "id AS id", "id % 20000 AS company_id", "id % 20000 AS location_id", "1L AS level_id",
+        "1L AS category_id", "'t' AS title", "1 AS load_batch", "1.0D AS salary_min", "2.0D AS salary_max",
+    )
+    match = ["company_id", "location_id", "level_id", "category_id"]
+    newest = star.newest_salaries(salaries).hint("rebalance", *match)
+    posts = hot(spark).selectExpr(
+        "k AS company_id", "k AS location_id", "1L AS level_id", "1L AS category_id", "payload"
+    )
+    paid = lookup(posts, newest, [(c, c) for c in match], {"salary_min": "salary_min"}, "left")
+    assert "skew=true" in final_plan(paid)
+    raw = hot(spark).selectExpr(
+        "monotonically_increasing_id() AS job_id", "k AS company_id", "payload AS job_name", "'x' AS level",
+        "TIMESTAMP'2025-01-01' AS publication_date",
+    )
+    companies = spark.range(20_000).selectExpr("id", "'n' AS name")
+    assert "skew=true" in final_plan(legacy.jobs(raw, companies))
+
+
+def test_counted_postings_are_reduced_before_the_dimension_is_joined(no_broadcast):
+    from workload.postings import model
+
+    df = serving.job_count(model(no_broadcast, "/root/testdata/sf0.001"), "company_name")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("Aggregate") > plan.index("Join")
+
+
 def test_first_per_key_is_reduced_before_the_shuffle(spark):
     df = rows.keep_first(hot(spark).withColumn("o", F.monotonically_increasing_id()), ["k"], "o")
     plan = df._jdf.queryExecution().sparkPlan().toString()

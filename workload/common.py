@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _tables:
         tune(spark)
+        if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local"):
+            # a trial on one machine; a cluster names its shared folder
+            spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="workload-"))
         _tables[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return _tables[key]
 
