@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from jobgrain.llm import wordhash
 from jobgrain.llm.components import components
+from jobgrain.llm.marks import bit_table, may_be
 from jobgrain.llm.shared import written
 
 WIDTH = 5  # words of a shingle
@@ -45,7 +46,7 @@ SIMILAR = 0.8
 RECALL = 0.999
 SKETCH = 128
 ROOTS = 16
-SMALL = 512  # sets in a bucket that is compared at once
+SMALL = 4096  # sets in a bucket that is compared at once
 NEAR = 0.64  # sketch similarity of a candidate: 0.8 less 4.5 standard errors
 TIED = 0.28  # of a set tied to a pivot: what a set within 0.8 of one that left must have
 LEAVES = 0.80  # of a set that leaves a bucket with its pivot
@@ -383,17 +384,18 @@ def _block_links(similar: float):
                     pa.array(ids, pa.binary()),
                     pa.array((linked * copies[None, :]).sum(axis=1), pa.int64()),
                     pa.array([ids[k] for k in name], pa.binary()),
+                    pa.array([group.column("blocks")[0].as_py()] * n, pa.int32()),
                 ],
-                names=["set", "links", "name"],
+                names=["set", "links", "name", "parts"],
             )
 
     return run
 
 
 def exact_links(members: DataFrame, similar: float) -> DataFrame:
-    """(set, links, name): for candidate members (component, set, size, copies, shingles),
-    how many documents of other sets each set is linked to in a pair of blocks, and a set
-    that it is connected to there."""
+    """(set, links, name, parts): for candidate members (component, set, size, copies,
+    shingles), how many documents of other sets each set is linked to in a pair of blocks,
+    a set that it is connected to there, and the number of blocks of its group."""
     blocks = F.greatest(
         F.ceil(F.count("*") / F.lit(BLOCK_SETS)), F.ceil(F.sum("size") / F.lit(BLOCK_SHINGLES))
     )
@@ -406,6 +408,7 @@ def exact_links(members: DataFrame, similar: float) -> DataFrame:
         F.least("block", "other").alias("low"),
         F.greatest("block", "other").alias("high"),
         "block",
+        "blocks",
         "set",
         "copies",
         "shingles",
@@ -414,7 +417,7 @@ def exact_links(members: DataFrame, similar: float) -> DataFrame:
     return (
         pairs.repartition(*keys)
         .sortWithinPartitions(*keys, "set")
-        .mapInArrow(_block_links(similar), "set binary, links bigint, name binary")
+        .mapInArrow(_block_links(similar), "set binary, links bigint, name binary, parts int")
     )
 
 
@@ -436,29 +439,37 @@ def similar_documents(
     )
     rows = written(rows.select("id", "digest", "found.*"), "sketches")
     first = F.min(F.struct(F.col("id").isNull(), "id", "digest")).alias("first")
-    classes = rows.filter("set IS NOT NULL").groupBy("set").agg(
-        F.count("*").alias("copies"), F.first("size").alias("size"), first
-    )
-    classes = written(classes, "sets")
-    sets = rows.filter("set IS NOT NULL").select("set", "sketch", "paths").dropDuplicates(["set"])
-    candidates = written(components(candidate_ties(written(sets, "distinct"))), "candidates")
+    one = [F.first(c).alias(c) for c in ("size", "sketch", "paths")]  # equal for equal sets
+    sets = rows.filter("set IS NOT NULL").groupBy("set").agg(F.count("*").alias("copies"), first, *one)
+    sets = written(sets, "sets")
+    classes = sets.select("set", "copies", "size", "first")
+    candidates = written(components(candidate_ties(sets)), "candidates")
     members = candidates.select(F.col("node").alias("set"), "component").join(classes, "set")
     members = written(members, "members")
-    texts = members.select("component", "set", "size", "copies", "first.id", "first.digest").join(
-        docs.select(F.col(key).alias("own"), F.xxhash64(text).alias("own_digest"), F.col(text).alias("body")),
-        (F.col("digest") == F.col("own_digest")) & F.col("id").eqNullSafe(F.col("own")),
+    member = members.select("component", "set", "size", "copies", "first.id", "first.digest")
+    bodies = docs.select(
+        F.col(key).alias("own"), F.xxhash64(text).alias("own_digest"), F.col(text).alias("body")
+    )
+    bodies = bodies.filter(may_be(bit_table(member, "id", "digest"), "own", "own_digest"))
+    texts = member.join(
+        bodies, (F.col("digest") == F.col("own_digest")) & F.col("id").eqNullSafe(F.col("own"))
+    ).select("component", "set", "size", "copies", _shingler(width)(F.col("body")).alias("shingles"))
+    # The same row may be there several times.
+    texts = texts.groupBy("component", "set").agg(
+        *[F.first(c).alias(c) for c in ("size", "copies", "shingles")]
     )
-    texts = texts.select(
-        "component", "set", "size", "copies", _shingler(width)(F.col("body")).alias("shingles")
-    ).dropDuplicates(["set"])  # the same row may be there several times
     links = written(exact_links(written(texts, "shingles"), similar), "links")
-    names = components(links.select(F.col("set").alias("a"), F.col("name").alias("b")))
-    counts = links.groupBy("set").agg(F.sum("links").alias("links"))
-    known = (
-        classes.join(counts, "set", "left")
-        .join(names.select(F.col("node").alias("set"), "component"), "set", "left")
-        .select("set", "copies", "links", "first", F.coalesce("component", "set").alias("component"))
+    counts = links.groupBy("set").agg(F.sum("links").alias("links"), F.min("name").alias("name"))
+    known = classes.join(counts, "set", "left").select(
+        "set", "copies", "links", "first", F.coalesce("name", "set").alias("component")
     )
+    if links.filter("parts > 1").limit(1).count():
+        # Groups of several blocks: each pair of blocks has named a part.
+        names = components(links.filter("parts > 1").select(F.col("set").alias("a"), F.col("name").alias("b")))
+        names = names.select(F.col("node").alias("set"), F.col("component").alias("whole"))
+        known = known.join(names, "set", "left").select(
+            "set", "copies", "links", "first", F.coalesce("whole", "component").alias("component")
+        )
     known = written(known, "known")
     smallest = known.groupBy("component").agg(F.min("first").alias("smallest"))
     known = written(known.join(smallest.hint("rebalance", "component"), "component"), "classes")
