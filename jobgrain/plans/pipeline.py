@@ -58,28 +58,40 @@ def load_norm(store: Warehouse, raw_tables: dict[str, DataFrame], null_safe: boo
 
 
 def load_star(store: Warehouse, null_safe: bool = False) -> None:
-    """Append what is new to the star tables, dimensions before the fact."""
+    """Append what is new to the star tables, dimensions before the fact.
+
+    Dimension rows can be new only through rows that this run added to the normalized
+    tables, and fact rows only through the jobs that such rows touch, so a load after
+    the first reads no more than those, and of the fact only their months.
+    """
     normalized = {name: store.table(f"norm.{name}") for name in NORM}
+    added = {name: store.added(f"norm.{name}") for name in NORM}
 
     def old(name: str) -> DataFrame:
         return store.existing(f"star.{name}")
 
     new = {
         "dim_companies": star.dim_companies(
-            normalized["companies"], normalized["companies_industries"],
+            added["companies"], normalized["companies_industries"],
             normalized["industries"], old("dim_companies"),
         ),
-        "dim_jobs": star.dim_jobs(normalized["jobs"], old("dim_jobs")),
-        "dim_levels": star.dim_levels(normalized["levels"], old("dim_levels")),
-        "dim_categories": star.dim_categories(
-            normalized["categories"], old("dim_categories")
-        ),
-        "dim_locations": star.dim_locations(normalized["locations"], old("dim_locations")),
-        "dim_date": star.dim_date([normalized["jobs"]], old("dim_date")),
+        "dim_jobs": star.dim_jobs(added["jobs"], old("dim_jobs")),
+        "dim_levels": star.dim_levels(added["levels"], old("dim_levels")),
+        "dim_categories": star.dim_categories(added["categories"], old("dim_categories")),
+        "dim_locations": star.dim_locations(added["locations"], old("dim_locations")),
+        "dim_date": star.dim_date([added["jobs"]], old("dim_date")),
     }
     written = store.append_all({f"star.{name}": rows for name, rows in new.items()})
     dims = {name: written[f"star.{name}"] for name in new}
-    fact = star.fact_job_postings(normalized, dims, old("fact_job_postings"), null_safe)
+    known = old("fact_job_postings")
+    if store.committed():
+        touched = star.touched_jobs(normalized, added, null_safe)
+        path = f"{store.root}/_touched/run_id={store.run_id}"
+        touched.write.mode("overwrite").parquet(path)
+        jobs = store.spark.read.schema(touched.schema).parquet(path)
+        known = star.facts_of_months(known, jobs)
+        normalized = normalized | {"jobs": jobs}
+    fact = star.fact_job_postings(normalized, dims, known, null_safe, old("fact_job_postings"))
     store.append("star.fact_job_postings", fact)
 
 

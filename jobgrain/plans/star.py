@@ -14,6 +14,9 @@ FACT_KEYS = [
 ]
 
 
+_PLACE = ["city", "subdivision_code", "country_code"]
+
+
 def _keyed(rows: DataFrame, existing: DataFrame, keys: list[str], key: str) -> DataFrame:
     new = insert_if_absent(rows, existing, keys)
     return with_ids(new, keys, key, next_after(existing, key)).select(key, *rows.columns)
@@ -109,18 +112,52 @@ def newest_salaries(salaries: DataFrame) -> DataFrame:
     )
 
 
+def touched_jobs(
+    norm: dict[str, DataFrame], added: dict[str, DataFrame], null_safe: bool = False
+) -> DataFrame:
+    """Jobs that may have new fact rows after a load: new ones, those with a new place,
+    and those at a place of which the load brought another spelling."""
+    spelled = lookup(
+        norm["locations"],
+        added["locations"].select(*[F.col(c).alias(f"new_{c}") for c in _PLACE]).distinct(),
+        [(c, f"new_{c}") for c in _PLACE],
+        {},
+        left_form=folded, right_form=folded, null_safe=null_safe,
+    ).select("id").distinct()
+    there = norm["jobs_locations"].join(spelled, F.col("location_id") == F.col("id"), "left_semi")
+    ids = (
+        added["jobs"].select("id")
+        .union(added["jobs_locations"].select("job_id"))
+        .union(there.select("job_id"))
+        .distinct()
+        .withColumnRenamed("id", "touched")
+    )
+    return norm["jobs"].join(ids, F.col("id") == F.col("touched"), "left_semi")
+
+
+def facts_of_months(facts: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Facts of the months in which any of the jobs was published. The months, a few
+    hundred at most, become a filter on the partitions, so other months are not read."""
+    day = F.to_date("publication_date")
+    months = jobs.select((F.year(day) * 12 + F.month(day)).alias("m")).distinct()
+    listed = [r.m for r in months.collect() if r.m is not None]
+    return facts.where((F.col("year") * 12 + F.col("month")).isin(listed))
+
+
 def fact_job_postings(
     norm: dict[str, DataFrame],
     dims: dict[str, DataFrame],
     existing: DataFrame,
     null_safe: bool = False,
+    numbered: DataFrame | None = None,
 ) -> DataFrame:
     """Fact rows to append: one per job and place, with the newest salary of the
     same company, place, level and category. A job without places has one row.
 
     A row already there is left as it is, so a salary that comes later does not
     change it. Duplicates inside a load are reduced to one, preferring a row
-    that has a salary.
+    that has a salary. `existing` needs to hold the rows that the jobs may already
+    have; ids go on after the largest in `numbered` (all rows; `existing` if left out).
     """
     jobs = norm["jobs"].withColumn("full_date", F.to_date("publication_date"))
     for dim, pairs, take in [
@@ -153,4 +190,5 @@ def fact_job_postings(
     )
     rows = paid.select(*FACT_KEYS, "salary_min", "salary_max", "year", "month")
     new = insert_if_absent(rows, existing, FACT_KEYS, prefer="max")
-    return with_ids(new, FACT_KEYS, "fact_id", next_after(existing, "fact_id"))
+    numbered = existing if numbered is None else numbered
+    return with_ids(new, FACT_KEYS, "fact_id", next_after(numbered, "fact_id"))

@@ -43,7 +43,7 @@ class Warehouse:
             log = self._read(f"{self.root}/_commits", "run_id STRING, number BIGINT")
             rows = [] if log is None else log.distinct().collect()
             rows = sorted(rows, key=lambda r: (r.number or 0, r.run_id))
-            self._committed = [r.run_id for r in rows if r.run_id != self.run_id]
+            self._committed = [r.run_id for r in rows]
         return self._committed
 
     def commit(self) -> None:

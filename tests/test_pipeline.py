@@ -291,3 +291,36 @@ def test_wide_plans_have_no_cross_products(spark):
     fact = star.fact_job_postings(tables, dims, dims["fact_job_postings"])
     text = fact._jdf.queryExecution().sparkPlan().toString()
     assert "Cartesian" not in text and "NestedLoop" not in text and "Python" not in text
+
+
+def test_a_later_load_reads_only_its_months(spark, loaded, tmp_path):
+    """The months of the jobs that a load touches, not the whole fact."""
+    store = loaded[1][2]
+    jobs = store.added("norm.jobs")
+    assert [r.name for r in jobs.collect()] == ["New Analyst"]
+    touched = star.touched_jobs(
+        {n: store.table(f"norm.{n}") for n in NORM}, {n: store.added(f"norm.{n}") for n in NORM}
+    )
+    assert [r.name for r in touched.collect()] == ["New Analyst"]
+    known = star.facts_of_months(store.existing("star.fact_job_postings"), touched)
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "year" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert known.count() == 0
+
+
+def test_another_spelling_of_a_place_touches_its_jobs(spark, tmp_path):
+    paths = land(tmp_path / "landing", companies=COMPANIES, jobs=JOBS, salaries=SALARIES)
+    quiet = {"log": lambda line: None}
+    first = pipeline.run(spark, paths, str(tmp_path / "tables"), "run_1", **quiet)
+    assert first.table("star.fact_job_postings").count() == 2
+    again = land(
+        tmp_path / "landing2", companies=COMPANIES, salaries=SALARIES,
+        jobs=[job(16, 1, "Late One", "Senior Level", "2025-03-01", ["AUSTIN, TX"], ["Data and Analytics"])],
+    )
+    second = pipeline.run(spark, again, str(tmp_path / "tables"), "run_2", **quiet)
+    jobs = {r.job_key: r.name for r in second.table("star.dim_jobs").collect()}
+    named_facts = sorted(jobs[r.job_key] for r in second.table("star.fact_job_postings").collect())
+    # both spellings match both places, so the old job has a row for each
+    assert named_facts == ["Data Engineer", "Late One", "Late One", "Senior Data Analyst", "Senior Data Analyst"]
+    ids = [r.fact_id for r in second.table("star.fact_job_postings").collect()]
+    assert len(set(ids)) == len(ids)
