@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobgrain.llm import wordhash
+from jobgrain.llm.marks import bit_table, may_be
 from jobgrain.llm.shared import written
 
 WORDS = 2_046
@@ -137,10 +138,11 @@ def score_documents(
             yield encode(texts, known.value)
 
     codes = F.arrow_udf(coded, "binary").asNondeterministic()(F.col(text))
-    codes = written(docs.select(F.col(key).alias("id"), codes.alias("codes")), "codes")
-    good = labels.filter(F.col(quality) == 1).select(F.col(key).alias("id")).distinct()
+    codes = written(docs.select(F.col(key).cast("long").alias("id"), codes.alias("codes")), "codes")
+    good = labels.filter(F.col(quality) == 1).select(F.col(key).cast("long").alias("id")).distinct()
     background = count_cells(codes, size)
-    target = count_cells(codes.join(good.hint("rebalance", "id"), "id"), size)
+    targets = codes.filter(may_be(bit_table(good, "id"), "id"))
+    target = count_cells(targets.join(good.hint("rebalance", "id"), "id"), size)
     total = target.sum() or 1.0
     target_log = log_probabilities(target if target.sum() else background, total)
     background_log = log_probabilities(background, total)
