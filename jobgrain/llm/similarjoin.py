@@ -182,7 +182,10 @@ def _forest(linked: np.ndarray) -> np.ndarray:
     n = len(linked)
     name = np.arange(n)
     while True:
-        following = np.minimum(name, np.where(linked, name[None, :], n).min(axis=1, initial=n))
+        following = name.copy()
+        for k in range(0, n, 128):  # a few rows at a time: numbers take eight times the links
+            near = np.where(linked[k : k + 128], name[None, :], n).min(axis=1)
+            following[k : k + 128] = np.minimum(following[k : k + 128], near)
         following = following[following]
         if (following == name).all():
             return name
