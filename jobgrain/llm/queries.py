@@ -28,7 +28,38 @@ def prepared(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@query()
+_WORDS = (
+    "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+DECONTAMINATE_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS.format('text')}, []) AS w FROM documents
+), i AS (
+  SELECT item_id, {_WORDS.format('text')} AS w FROM benchmark WHERE item_id IS NOT NULL
+), p AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS n,
+    array_to_string(w[k:k + least(13, len(w)) - 1], ' ') AS window_words
+  FROM i, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s(k) WHERE len(w) > 0
+), s AS (
+  SELECT r, n, k, array_to_string(w[k:k + n - 1], ' ') AS window_words
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM p))
+), h AS (
+  SELECT r, n, k, item_id FROM s JOIN p USING (n, window_words)
+), c AS (
+  SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS place FROM h) GROUP BY r
+), t AS (
+  SELECT r, count(DISTINCT item_id) AS n_items,
+    string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items FROM h GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN c USING (r) LEFT JOIN t USING (r)
+"""
+
+
+@query(DECONTAMINATE_SQL)
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -45,7 +76,51 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+def _either_case(pattern: str) -> str:
+    """`(?i:...)` spelled out: another engine's flag also folds letters beyond ASCII."""
+    before, sign, rest = pattern.partition("(?i:")
+    if not sign:
+        return pattern
+    depth, end = 1, 0
+    while depth:
+        depth += {"(": 1, ")": -1}.get(rest[end], 0)
+        end += 1
+    letters = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in rest[: end - 1])
+    return before + letters + rest[end:]
+
+
+def _spans_sql(number: int, kind: str, pattern: str, group: int, least: int) -> str:
+    """Spans of one rule: what lies before a match are the pieces between matches and the
+    matches before it."""
+    quoted = _either_case(pattern).replace("'", "''")
+    return f"""
+  SELECT r, {number} AS rule, '{kind}' AS kind,
+    CAST(list_sum(list_transform(p[1:k], lambda x: length(x)))
+      + coalesce(list_sum(list_transform(m[1:k - 1], lambda x: length(x))), 0) AS BIGINT) AS first,
+    length(m[k]) AS size
+  FROM (SELECT r, m, g, string_split_regex(text, '{quoted}') AS p, unnest(range(1, len(m) + 1)) AS k
+    FROM (SELECT r, text, regexp_extract_all(text, '{quoted}') AS m,
+      regexp_extract_all(text, '{quoted}', {group}) AS g FROM d))
+  WHERE length(g[k]) >= {least}"""
+
+
+SECRET_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+s AS ({" UNION ALL ".join(_spans_sql(k, *rule) for k, rule in enumerate(secretscan.RULES))}),
+j AS (
+  SELECT r, count(*) FILTER (rule = 0) AS n_assign, count(*) FILTER (rule = 1) AS n_access,
+    count(*) FILTER (rule = 2) AS n_hex,
+    string_agg(kind || ':' || first || ':' || (first + size), ',' ORDER BY first, rule) FILTER (rule < 3) AS base,
+    string_agg(kind || ':' || first || ':' || (first + size), ',' ORDER BY first, rule) AS spans
+  FROM s GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN j USING (r)
+"""
+
+
+@query(SECRET_SQL)
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -43,7 +43,7 @@ MORE_RULES = [
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
     ("google", r"AIza[A-Za-z0-9_-]{35}", 0, 0),
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0, 0),
-    ("url_password", r"://[^/\s:@]{1,80}:[^/\s:@]{1,80}@", 0, 0),
+    ("url_password", r"://[^/\x09-\x0D\x20:@]{1,80}:[^/\x09-\x0D\x20:@]{1,80}@", 0, 0),
 ]
 RULES = BASE_RULES + MORE_RULES
 SPANS = "array<struct<kind:string,start:int,end:int>>"
