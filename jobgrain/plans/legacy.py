@@ -39,7 +39,7 @@ def jobs(raw: DataFrame, companies: DataFrame) -> DataFrame:
         "level",
         F.col("publication_date").cast("timestamp_ntz").alias("publication_date"),
     ).distinct()
-    known = companies.select("id").distinct().hint("rebalance", "id")
+    known = companies.select("id").distinct().hint("rebalance")
     return lookup(batch, known, [("company_id", "id")], {})
 
 
@@ -192,7 +192,7 @@ def fact_job_postings(
         paid = paid.groupBy("company_id", "location_id").agg(
             F.min("salary_min").alias("salary_min"), F.max("salary_max").alias("salary_max")
         )
-    paid = paid.hint("rebalance", "company_id", "location_id")  # lets Spark split hot postings
+    paid = paid.hint("rebalance")  # lets Spark split hot postings
     places = lookup(
         norm["locations"], dims["dim_locations"],
         [("city", "city"), ("subdivision_code", "state"), ("country_code", "country")],

@@ -183,7 +183,7 @@ def fact_job_postings(
     match = ["company_id", "location_id", "level_id", "category_id"]
     # Postings of one large employer may be many rows of one key. Spark splits them
     # only if the other side is not itself grouped by the key, hence the shuffle.
-    newest = newest_salaries(norm["salaries"]).hint("rebalance", *match)
+    newest = newest_salaries(norm["salaries"]).hint("rebalance")
     paid = lookup(
         keyed, newest, [(c, c) for c in match],
         {"salary_min": "salary_min", "salary_max": "salary_max"}, "left",

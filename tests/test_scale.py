@@ -78,7 +78,7 @@ def test_a_hot_key_is_split_beside_a_grouped_side(no_broadcast):
         "1L AS category_id", "'t' AS title", "1 AS load_batch", "1.0D AS salary_min", "2.0D AS salary_max",
     )
     match = ["company_id", "location_id", "level_id", "category_id"]
-    newest = star.newest_salaries(salaries).hint("rebalance", *match)
+    newest = star.newest_salaries(salaries).hint("rebalance")
     posts = hot(spark).selectExpr(
         "k AS company_id", "k AS location_id", "1L AS level_id", "1L AS category_id", "payload"
     )
