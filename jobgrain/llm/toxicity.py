@@ -7,7 +7,8 @@ letter or for nothing, a repeated letter for one or two, a gap for nothing or a
 the Viterbi path under a character language model, of order four over the bytes of the
 training texts, is the restored text. All other words stand for themselves. A text is
 scored by the words it has after restoring, and by how they begin, both with repeated
-letters taken as one: a logistic model over the features that set toxic texts apart.
+letters taken as one, and by whether it has them once, twice or LEVELS times and more: a
+logistic model over the features that set toxic texts apart.
 
 What is fitted, and on what: the labelled rows outside the held-out fold, at most about
 TRAIN_ROWS of them (a fixed choice by digest), each text once. From these come the
@@ -42,6 +43,7 @@ TRAIN_ROWS = 30_000
 FEATURES = 2_000
 MIN_TEXTS = 5
 BEGINNINGS = (4, 5, 6)  # bytes of a word's beginning that are features
+LEVELS = 3  # a feature is had at least once, twice, three times
 GROUP = 1 << 19  # bytes of text handled together
 
 # Symbols and the letters they stand for.
@@ -208,7 +210,7 @@ def _word_features(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> li
 class Restorer:
     """Features of texts after restoring; remembers what it has restored."""
 
-    def __init__(self, model: CharModel | None, most: int = 200_000):
+    def __init__(self, model: CharModel | None, most: int = 50_000):
         self.model, self.most, self.memo = model, most, {}
 
     def words(self, token: str) -> bytes:
@@ -278,25 +280,34 @@ def _feature_counter(grams):
             for low, high, found in restorer.features(batch.column("text")):
                 text = np.concatenate([t for t, _ in found])
                 hashes = np.concatenate([h for _, h in found])
-                order = np.lexsort((hashes, text))
-                text, hashes = text[order], hashes[order]
-                new = np.ones(len(text), dtype=bool)
-                new[1:] = (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])
-                new &= hashes != 0
-                feature, at = np.unique(hashes[new], return_inverse=True)
-                bad = toxic[low:high][text[new]]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(feature.view(np.int64)),
-                        pa.array(np.bincount(at[bad], minlength=len(feature)).astype(np.int64)),
-                        pa.array(np.bincount(at[~bad], minlength=len(feature)).astype(np.int64)),
-                    ],
-                    names=["feature", "bad", "good"],
-                )
+                text, hashes, times = _times(text[hashes != 0], hashes[hashes != 0])
+                for level in range(1, LEVELS + 1):
+                    has = times >= level
+                    feature, at = np.unique(hashes[has], return_inverse=True)
+                    bad = toxic[low:high][text[has]]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(feature.view(np.int64)),
+                            pa.array(np.full(len(feature), level, dtype=np.int32)),
+                            pa.array(np.bincount(at[bad], minlength=len(feature)).astype(np.int64)),
+                            pa.array(np.bincount(at[~bad], minlength=len(feature)).astype(np.int64)),
+                        ],
+                        names=["feature", "level", "bad", "good"],
+                    )
 
     return run
 
 
+def _times(text: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (text, value) pairs and how often each is there."""
+    order = np.lexsort((value, text))
+    text, value = text[order], value[order]
+    new = np.ones(len(text), dtype=bool)
+    new[1:] = (text[1:] != text[:-1]) | (value[1:] != value[:-1])
+    first = np.flatnonzero(new)
+    return text[first], value[first], np.diff(np.concatenate((first, [len(text)])))
+
+
 class Lookup:
     """Which of the chosen features (sorted hashes) the texts of a column have."""
 
@@ -305,8 +316,8 @@ class Lookup:
         self.maybe = np.zeros(1 << 16, dtype=bool)
         self.maybe[(chosen >> np.uint64(48)).astype(np.int64)] = True
 
-    def pairs(self, found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """Distinct (text, number of the feature)."""
+    def had(self, found: list[tuple[np.ndarray, np.ndarray]]):
+        """Texts, numbers of the features they have, and how often (up to LEVELS)."""
         out = []
         for text, hashes in found:
             at = np.flatnonzero(self.maybe[(hashes >> np.uint64(48)).astype(np.int64)])
@@ -314,7 +325,9 @@ class Lookup:
             place[place == len(self.chosen)] = 0
             same = self.chosen[place] == hashes[at]
             out.append(np.stack((text[at[same]], place[same]), axis=1))
-        return np.unique(np.concatenate(out), axis=0)
+        pairs = np.concatenate(out)
+        text, number, times = _times(pairs[:, 0], pairs[:, 1])
+        return text, number, np.minimum(times, LEVELS)
 
 
 def _present(grams, chosen):
@@ -322,10 +335,15 @@ def _present(grams, chosen):
         restorer, lookup = Restorer(CharModel(grams.value)), Lookup(chosen.value)
         for batch in batches:
             for low, high, found in restorer.features(batch.column("text")):
-                pairs = lookup.pairs(found)
-                ends = np.cumsum(np.bincount(pairs[:, 0], minlength=high - low))
+                text, number, times = lookup.had(found)
+                # one column for each feature and level; a level has those below it
+                step = np.repeat(times, times) - np.concatenate(
+                    [np.arange(n, 0, -1) for n in times.tolist()] or [np.empty(0, dtype=int)]
+                )
+                column = np.repeat(number, times) * LEVELS + step
+                ends = np.cumsum(np.bincount(np.repeat(text, times), minlength=high - low))
                 lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(pairs[:, 1], pa.int32())
+                    pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(column, pa.int32())
                 )
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("toxic").slice(low, high - low), lists], names=["toxic", "features"]
@@ -335,7 +353,7 @@ def _present(grams, chosen):
 
 
 def fit_weights(
-    rows: np.ndarray, features: np.ndarray, toxic: np.ndarray, n: int, penalty: float = 0.02
+    rows: np.ndarray, features: np.ndarray, toxic: np.ndarray, n: int, penalty: float = 1.0
 ) -> np.ndarray:
     """Weights of a logistic model (last: the constant) over (row, feature) pairs, by
     accelerated gradient steps."""
@@ -367,7 +385,8 @@ def train(
     label: str = "toxic",
     rows: int = TRAIN_ROWS,
 ):
-    """(counts of four-byte runs, chosen feature hashes, weights)."""
+    """(counts of four-byte runs, sorted hashes of the chosen features, their weights by
+    number of times, the constant)."""
     spark = docs.sparkSession
     known = labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("toxic"))
     known = known.filter(F.col("id").isNotNull() & F.col("toxic").isNotNull() & (fold(F.col("id")) != 0))
@@ -391,48 +410,58 @@ def train(
         for g, n in zip(grams.column("gram").to_pylist(), grams.column("n").to_pylist())
     }
     shared = spark.sparkContext.broadcast(grams)
-    counts = sample.mapInArrow(_feature_counter(shared), "feature long, bad long, good long")
-    counts = counts.groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    counts = sample.mapInArrow(
+        _feature_counter(shared), "feature long, level int, bad long, good long"
+    )
+    counts = counts.groupBy("feature", "level").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     totals = sample.agg(F.sum("toxic"), F.count("*")).first()
     bad, good = int(totals[0] or 0), int(totals[1]) - int(totals[0] or 0)
     if not bad or not good:
-        return grams, np.empty(0, dtype=np.uint64), np.array([-30.0])
+        return grams, np.empty(0, dtype=np.uint64), np.zeros((0, LEVELS + 1)), -30.0
     p, r = (F.col("bad") + 0.5) / (bad + 1), (F.col("good") + 0.5) / (good + 1)
     ratio = F.col("bad") * F.log(p / r) + F.col("good") * F.log(r / p)
     best = (
         counts.filter(F.col("bad") + F.col("good") >= MIN_TEXTS)
-        .orderBy(ratio.desc(), "feature")
+        .orderBy(ratio.desc(), "feature", "level")
         .limit(FEATURES)
-        .select("feature")
+        .select("feature", "level")
         .toArrow()
     )
-    chosen = np.sort(best.column("feature").to_numpy().view(np.uint64))
+    hashes = best.column("feature").to_numpy().view(np.uint64)
+    chosen = np.unique(hashes)
+    columns = np.searchsorted(chosen, hashes) * LEVELS + best.column("level").to_numpy() - 1
     shared_chosen = spark.sparkContext.broadcast(chosen)
     present = sample.mapInArrow(_present(shared, shared_chosen), "toxic int, features array<int>")
     present = present.toArrow().combine_chunks()
     toxic = present.column("toxic").to_numpy().astype(float)
     lists = present.column("features").combine_chunks()
     sizes = np.diff(lists.offsets.to_numpy())
-    weights = fit_weights(
-        np.repeat(np.arange(len(toxic)), sizes), lists.flatten().to_numpy(), toxic, len(chosen)
-    )
-    return grams, chosen, weights
+    rows_, had = np.repeat(np.arange(len(toxic)), sizes), lists.flatten().to_numpy()
+    number = np.full(len(chosen) * LEVELS, -1)
+    number[columns] = np.arange(len(columns))
+    used = number[had] >= 0
+    fitted = fit_weights(rows_[used], number[had[used]], toxic, len(columns))
+    weights = np.zeros(len(chosen) * LEVELS)
+    weights[columns] = fitted[:-1]
+    # by number of times: none, once, ...; each level counts besides those below it
+    table = np.zeros((len(chosen), LEVELS + 1))
+    table[:, 1:] = weights.reshape(-1, LEVELS).cumsum(axis=1)
+    return grams, chosen, table, float(fitted[-1])
 
 
 def score(docs: DataFrame, model, text: str = "text", into: str = "score") -> DataFrame:
     """Add a score in 0..1 to every document."""
-    grams, chosen, weights = model
-    shared = docs.sparkSession.sparkContext.broadcast((grams, chosen, weights))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        grams, chosen, weights = shared.value
+        grams, chosen, table, constant = shared.value
         restorer, lookup = Restorer(CharModel(grams)), Lookup(chosen)
         for texts in batches:
-            out = np.full(len(texts), weights[-1])
+            out = np.full(len(texts), constant)
             for low, high, found in restorer.features(texts) if len(chosen) else ():
-                pairs = lookup.pairs(found)
+                text, number, times = lookup.had(found)
                 out[low:high] += np.bincount(
-                    pairs[:, 0], weights=weights[pairs[:, 1]], minlength=high - low
+                    text, weights=table[number, times], minlength=high - low
                 )
             yield pa.array(1 / (1 + np.exp(-np.clip(out, -30, 30))))
 

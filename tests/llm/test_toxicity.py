@@ -3,7 +3,7 @@ import pytest
 from jobgrain.llm import queries, toxicity as t
 from tests.llm.helpers import docs_of
 
-SF = "/root/testdata/sf0.01"
+SF = "/root/testdata/sf0.1"  # sf0.01 holds out only eight toxic documents
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +16,7 @@ def test_held_out_accuracy(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic")
     rows = queries.op10_toxicity(spark, SF).join(labels, "doc_id").filter("held_out").collect()
     right = sum(r.predicted == r.toxic for r in rows)
-    assert len(rows) > 50 and right / len(rows) >= 0.95
+    assert len(rows) > 500 and right / len(rows) >= 0.95
     bad = [r.score for r in rows if r.toxic]
     good = [r.score for r in rows if not r.toxic]
     ranked = sum((b > g) + 0.5 * (b == g) for b in bad for g in good) / (len(bad) * len(good))
