@@ -63,6 +63,9 @@ def _or(*parts):
     if any(q == ALL for q in parts):
         return ALL
     parts = {p for q in parts for p in (q[1] if q[0] == "or" else [q])}
+    terms = {p: frozenset(p[1]) if p[0] == "and" else frozenset([p]) for p in parts}
+    # an option that asks for all that another asks for, and more, adds nothing
+    parts = {p for p in parts if not any(terms[q] < terms[p] for q in parts)}
     return next(iter(parts)) if len(parts) == 1 else ("or", frozenset(parts))
 
 
