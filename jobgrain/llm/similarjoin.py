@@ -289,7 +289,7 @@ def _typed(run, kind):
 def _sized(members: DataFrame) -> DataFrame:
     """Members of buckets with two or more, and how many those have."""
     counts = members.groupBy("path").agg(F.count("*").alias("many")).filter("many > 1")
-    return members.join(counts.hint("rebalance", "path"), "path")
+    return members.join(counts.hint("rebalance"), "path")
 
 
 def candidate_ties(sets: DataFrame) -> DataFrame:
@@ -313,7 +313,7 @@ def candidate_ties(sets: DataFrame) -> DataFrame:
         pivots = large.groupBy("path").agg(
             F.min("set").alias("pivot"), F.min_by("sketch", "set").alias("pivot_sketch")
         )
-        step = large.join(pivots.hint("rebalance", "path"), "path").withColumn(
+        step = large.join(pivots.hint("rebalance"), "path").withColumn(
             "step", _pivot_step(F.col("path"), F.col("sketch"), F.col("pivot_sketch"))
         )
         step = written(step.select("set", "sketch", "pivot", "step.agree", "step.paths"), "pivots")
@@ -403,7 +403,7 @@ def exact_links(members: DataFrame, similar: float) -> DataFrame:
         F.ceil(F.count("*") / F.lit(BLOCK_SETS)), F.ceil(F.sum("size") / F.lit(BLOCK_SHINGLES))
     )
     parts = members.groupBy("component").agg(blocks.cast("int").alias("blocks"))
-    members = members.join(parts.hint("rebalance", "component"), "component")
+    members = members.join(parts.hint("rebalance"), "component")
     members = members.withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
     pairs = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = pairs.select(
@@ -475,7 +475,7 @@ def similar_documents(
         )
     known = written(known, "known")
     smallest = known.groupBy("component").agg(F.min("first").alias("smallest"))
-    known = written(known.join(smallest.hint("rebalance", "component"), "component"), "classes")
+    known = written(known.join(smallest.hint("rebalance"), "component"), "classes")
     known = known.select("set", "copies", "links", "smallest")
     return rows.select("id", "digest", "set").join(known, "set", "left").select(
         F.col("id").alias(key),
