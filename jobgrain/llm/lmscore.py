@@ -76,12 +76,14 @@ def _cells(codes: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     _, offsets, data = codes.buffers()
     offsets = np.frombuffer(offsets, dtype=np.int32)[codes.offset : codes.offset + len(codes) + 1] // 2
     data = np.frombuffer(data, dtype=np.uint16) if data is not None else np.empty(0, np.uint16)
-    word = data[offsets[0] : offsets[-1]].astype(np.int64)
+    word = data[offsets[0] : offsets[-1]].astype(np.int32)
     offsets = offsets - offsets[0]
     before = np.empty_like(word)
     before[1:] = word[:-1]
     before[offsets[:-1][np.diff(offsets) > 0]] = START
-    return before * size + word, np.diff(offsets)
+    before *= size  # cells fit in 32 bits, as the table is of fixed size
+    before += word
+    return before, np.diff(offsets)
 
 
 def _cell_counter(size: int):
@@ -142,7 +144,7 @@ def score_documents(
     good = labels.filter(F.col(quality) == 1).select(F.col(key).cast("long").alias("id")).distinct()
     background = count_cells(codes, size)
     targets = codes.filter(may_be(bit_table(good, "id"), "id"))
-    target = count_cells(targets.join(good.hint("rebalance", "id"), "id"), size)
+    target = count_cells(targets.join(good.hint("rebalance"), "id"), size)
     total = target.sum() or 1.0
     target_log = log_probabilities(target if target.sum() else background, total)
     background_log = log_probabilities(background, total)

@@ -24,7 +24,7 @@ def query(sql: str | None = None):
 
 def prepared(spark: SparkSession) -> SparkSession:
     """Bound the bytes of the batches that go to Python."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     return spark
 
 

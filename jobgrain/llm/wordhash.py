@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-GROUP_BYTES = 4 << 20  # texts that are handled together
+GROUP_BYTES = 1 << 20  # texts that are handled together
 PIECE_BYTES = 1 << 18  # bytes that are hashed together
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
