@@ -541,10 +541,12 @@ def clean_jobs(spark, sf):
           CASE WHEN s_suppkey % 3 = 0 THEN 'text of ' || s_name END AS description,
           CASE WHEN s_nationkey % 3 = 0 THEN NULL ELSE n_name END AS size,
           CASE WHEN s_suppkey % 4 < 2 THEN n_name || '|' || r_name END AS place,
+          CASE WHEN s_nationkey % 2 = 0 THEN epoch_us(TIMESTAMP '2024-01-01 10:00:00' + to_days(s_nationkey))
+            END AS publication_us, CASE WHEN s_nationkey % 4 < 2 THEN n_name END AS industry,
           row_number() OVER (PARTITION BY s_suppkey // 2 ORDER BY s_suppkey) AS rn
           FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
-        SELECT company_id, company_name, description, size, place, true AS no_date,
-          true AS no_industries FROM src WHERE rn = 1"""
+        SELECT company_id, company_name, description, size, place, publication_us, industry
+        FROM src WHERE rn = 1"""
 )
 def clean_companies(spark, sf):
     key = F.col("s_suppkey")
@@ -560,12 +562,19 @@ def clean_companies(spark, sf):
             F.when(key % 3 == 0, F.concat(F.lit(" text of \n\t"), "s_name", F.lit("\r\n")))
             .when(key % 3 == 1, "  ")
             .alias("description"),
-            F.lit("2024-02-30T00:00:00Z").alias("publication_date"),
+            F.when(
+                F.col("s_nationkey") % 2 == 0,
+                F.concat(F.date_add(F.lit("2024-01-01").cast("date"), F.col("s_nationkey")).cast("string"), F.lit("T10:00:00Z")),
+            )
+            .otherwise("2024-02-30T00:00:00Z")
+            .alias("publication_date"),
             F.when(F.col("s_nationkey") % 3 == 0, "").otherwise(F.col("n_name")).alias("size"),
             F.when(
                 key % 4 < 2, F.array(F.struct(F.concat_ws(", ", "n_name", "r_name").alias("name")))
             ).otherwise(none).alias("locations"),
-            none.alias("industries"),
+            F.when(F.col("s_nationkey") % 4 < 2, F.array(F.struct(F.col("n_name").alias("name"))))
+            .otherwise(none)
+            .alias("industries"),
             key.alias("_order"),
         )
     )
@@ -573,13 +582,13 @@ def clean_companies(spark, sf):
     return cleaning.clean_companies(records, order="_order").select(
         "company_id", "company_name", "description", "size",
         F.concat(place["city"], F.lit("|"), place["country_code"]).alias("place"),
-        F.col("publication_date").isNull().alias("no_date"),
-        F.col("industries").isNull().alias("no_industries"),
+        F.unix_micros("publication_date").alias("publication_us"),
+        F.get("industries", F.lit(0))["name"].alias("industry"),
     )
 
 
 @query(
-    f"""WITH src AS (SELECT l_orderkey AS id, l_linenumber, l_partkey, l_suppkey,
+    f"""WITH src AS (SELECT l_orderkey AS id, l_linenumber, l_partkey, l_suppkey, l_shipdate,
           CASE WHEN l_linenumber = 3 THEN '' ELSE 'Company ' || l_suppkey END AS company_name,
           CASE l_partkey % 6 WHEN 0 THEN 'Internal Auditor (m/f)' WHEN 1 THEN 'Senior Data-Engineer'
             WHEN 2 THEN 'Statistcs' WHEN 3 THEN 'IT Manager' WHEN 4 THEN 'Helpdsk' ELSE 'Zzz' END AS title,
@@ -594,7 +603,10 @@ def clean_companies(spark, sf):
             ELSE 'Software Engineering' END AS categories,
           CASE title WHEN 'Internal Auditor (m/f)' THEN 'Internship' WHEN 'Senior Data-Engineer'
             THEN 'Senior Level' WHEN 'IT Manager' THEN 'Senior Level' ELSE 'Mid Level' END AS level,
-          CASE WHEN l_partkey % 2 = 0 THEN 'US-TX' END AS subdivision
+          CASE WHEN l_partkey % 2 = 0 THEN 'US-TX' END AS subdivision,
+          CASE WHEN l_partkey % 2 = 0 THEN 'US' ELSE 'DE' END AS country,
+          CASE WHEN l_partkey % 2 = 0 THEN 'Dallas' END AS city, 'IT Jobs' AS adz_category,
+          CAST(0 AS INTEGER) AS salary_is_predicted, epoch_us(l_shipdate) AS publication_us
         FROM src WHERE rn = 1 AND low IS NOT NULL AND company_name <> ''"""
 )
 def clean_salaries(spark, sf):
@@ -625,4 +637,8 @@ def clean_salaries(spark, sf):
     return cleaning.clean_salaries(records, order="_order").select(
         "adz_job_id", "company_name", "adz_job_name", "salary_min", "salary_max",
         "categories", "level", F.get("locations", F.lit(0))["subdivision_code"].alias("subdivision"),
+        F.get("locations", F.lit(0))["country_code"].alias("country"),
+        F.get("locations", F.lit(0))["city"].alias("city"),
+        "adz_category", "salary_is_predicted",
+        F.unix_micros("publication_date").alias("publication_us"),
     )

@@ -220,13 +220,12 @@ SQL["place_join_null_safe"] = f"""SELECT c_custkey, p.n_nationkey AS place FROM
 
 @query(
     """SELECT p_partkey, s.l_suppkey AS supplier, s.l_extendedprice AS price FROM part LEFT JOIN LATERAL (
-         SELECT * FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'R'
+         SELECT * FROM lineitem WHERE l_partkey = p_partkey
          ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC LIMIT 1) s ON TRUE"""
 )
 def lateral_top1(spark, sf):
-    returned = table(spark, sf, "lineitem").where("l_returnflag = 'R'")
     newest = rows.latest_per(
-        returned, ["l_partkey"], ["l_shipdate", "l_orderkey", "l_linenumber"],
+        table(spark, sf, "lineitem"), ["l_partkey"], ["l_shipdate", "l_orderkey", "l_linenumber"],
         ["l_suppkey", "l_extendedprice"],
     )
     return lookup(
