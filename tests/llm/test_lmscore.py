@@ -101,3 +101,24 @@ def test_query_equals_plain_models(spark):
     least = min(counts[w] for w in vocabulary)
     assert all(w in vocabulary for w, n in counts.items() if n > least)
     check(queries.op5_lm_scores(spark, SF).collect(), plain_scores(docs, good, vocabulary))
+
+
+def test_words_beyond_any_number_tell_texts_apart(spark):
+    rare = [f"w{k}" for k in range(3_000)]  # each twice, none among 2,046 most frequent ones
+    docs = [(k, f"{a} {b} common") for k, (a, b) in enumerate(zip(rare, rare[1:] + rare[:1]))]
+    good = {k for k, _ in docs if k < 1_500}
+    labels = spark.createDataFrame([(k, 1) for k in good], "doc_id long, quality int")
+    rows = lmscore.score_documents(docs_of(spark, docs), labels).collect()
+    check(rows, plain_scores(docs, good, {*rare, "common"}))
+    scores = {r.doc_id: r.score for r in rows}
+    assert min(scores[k] for k in range(1, 1_499)) > max(scores[k] for k in range(1_501, 2_999))
+
+
+def test_blocks_do_not_change_scores(spark, monkeypatch):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(60).collect()]
+    labels = spark.createDataFrame([(k, 1) for k, _ in docs[::3]], "doc_id long, quality int")
+    monkeypatch.setattr(lmscore, "BLOCK", 500)
+    monkeypatch.setattr(lmscore, "BUCKETS", 2)
+    rows = lmscore.score_documents(docs_of(spark, docs), labels).collect()
+    everything = {w for _, t in docs for w in words(t)}
+    check(rows, plain_scores(docs, {k for k, _ in docs[::3]}, everything))
