@@ -4,17 +4,19 @@ Words that may hide another word are decoded first: a token that mixes letters w
 look-alike symbols, a letter repeated three times or more, and letters spelled out one by
 one. Each becomes a lattice of what its characters may stand for (a look-alike for some
 letter or for nothing, a repeated letter for one or two, a gap for nothing or a blank), and
-the Viterbi path under a character language model, of order four over the bytes of the
-training texts, is the restored text. All other words stand for themselves. A text is
+the Viterbi path under a character language model, of order four over the bytes of all
+texts, is the restored text. All other words stand for themselves. A text is
 scored by the words it has after restoring, and by how they begin, both with repeated
 letters taken as one, and by whether it has them once, twice or LEVELS times and more: a
 logistic model over the features that set toxic texts apart.
 
-What is fitted, and on what: the labelled rows outside the held-out fold, at most about
-TRAIN_ROWS of them (a fixed choice by digest), each text once. From these come the
-character model, the FEATURES features with the largest likelihood ratio among those in
-MIN_TEXTS texts or more, and the weights. Only the sampled ids and the fitted tables are
-broadcast, both bounded by these parameters. Every text is scored whole, in the tasks that
+What is fitted, and on what: the character model on all texts, labelled or not, repeated
+ones as often as they are there. The classifier on the labelled rows outside the held-out
+fold, at most about TRAIN_ROWS of them (a fixed choice by digest), each text once: the
+FEATURES features with the largest likelihood ratio among those in MIN_TEXTS texts or more,
+and the weights. Only the sampled ids and the fitted tables are broadcast, bounded by these
+parameters, and the counts of runs of four bytes, as two arrays (there are 37^4 runs of
+ASCII letters, digits and the blank, and those of other scripts that the texts have). Every text is scored whole, in the tasks that
 read it; nothing else is shuffled.
 
 Cases: a null or empty text gets the score of a text without features. Rows without a
@@ -51,6 +53,7 @@ LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b",
     "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "{": "c",
 }
+_END = 0xFF
 GAPS = " .-_*~,'/\\"
 _TRIM = ".,;:?\"')]}>*#%&-_=~^/\\"
 
@@ -61,24 +64,28 @@ class CharModel:
     """Log probabilities of the next byte after up to three others, each order mixed with
     the one below in proportion to how many kinds of successors its context has."""
 
-    def __init__(self, grams: dict[bytes, int]):
-        self.counts, self.totals, self.kinds = {}, {}, {}
-        for gram, n in grams.items():
-            for k in range(4):  # k bytes of context
-                key = gram[3 - k :]
-                self.counts[key] = self.counts.get(key, 0) + n
-        for key, n in self.counts.items():
-            self.totals[key[:-1]] = self.totals.get(key[:-1], 0) + n
-            self.kinds[key[:-1]] = self.kinds.get(key[:-1], 0) + 1
+    def __init__(self, grams: tuple[np.ndarray, np.ndarray]):
+        codes, n = grams  # sorted runs of four bytes as numbers, and how often each is there
+        self.orders = []
+        for k in range(4):  # k bytes of context
+            run, at = np.unique(codes & ((1 << 8 * (k + 1)) - 1), return_inverse=True)
+            times = np.bincount(at, weights=n, minlength=len(run))
+            context, at, kinds = np.unique(run >> 8, return_inverse=True, return_counts=True)
+            total = np.bincount(at, weights=times, minlength=len(context))
+            self.orders.append((run, times, context, total, kinds))
         self.log = lru_cache(1 << 16)(self._log)
 
     def _p(self, context: bytes, byte: bytes) -> float:
         lower = self._p(context[1:], byte) if context else 1 / 256
-        total = self.totals.get(context, 0)
-        if not total:
+        run, times, contexts, totals, kinds = self.orders[len(context)]
+        before = int.from_bytes(context, "big")
+        at = contexts.searchsorted(before)
+        if at == len(contexts) or contexts[at] != before:
             return lower
-        kinds = self.kinds[context]
-        return (self.counts.get(context + byte, 0) + kinds * lower) / (total + kinds)
+        code = before << 8 | byte[0]
+        place = run.searchsorted(code)
+        n = times[place] if place < len(run) and run[place] == code else 0
+        return float((n + kinds[at] * lower) / (totals[at] + kinds[at]))
 
     def _log(self, context: bytes, byte: bytes) -> float:
         return math.log(self._p(context, byte))
@@ -256,20 +263,44 @@ def fold(key: Column) -> Column:
 
 
 def _gram_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of four bytes of the lower-cased text, words parted by one zero byte."""
+    """Runs of four bytes of each lower-cased text, words parted by one zero byte."""
+    found, size = [], 0
+
+    def added() -> tuple[np.ndarray, np.ndarray]:
+        gram, at = np.unique(np.concatenate([g for g, _ in found]), return_inverse=True)
+        return gram, np.bincount(at, weights=np.concatenate([n for _, n in found]), minlength=len(gram))
+
     for batch in batches:
         data, offsets = wordhash.text_bytes(batch.column("text"))
-        for low, high in wordhash.groups(offsets):
+        for low, high in wordhash.groups(offsets, 4 * wordhash.GROUP_BYTES):
+            part = offsets[low : high + 1] - offsets[low]
             values = wordhash.WORD_BYTES[data[offsets[low] : offsets[high]]]
-            values = values[np.concatenate(([True], (values[1:] != 0) | (values[:-1] != 0)))] if len(values) else values
+            # no text has a byte of _END, so no run goes from one text to the next
+            values = np.insert(values, np.repeat(part, 3), np.tile([0, _END, 0], len(part)).astype(np.uint8))
+            values = values[np.concatenate(([True], (values[1:] != 0) | (values[:-1] != 0)))]
             wide = values.astype(np.uint32)
-            if len(wide) < 4:
-                continue
             codes = (wide[:-3] << 24) | (wide[1:-2] << 16) | (wide[2:-1] << 8) | wide[3:]
+            end = values == _END
+            codes = codes[~(end[:-3] | end[1:-2] | end[2:-1] | end[3:])]
             gram, n = np.unique(codes, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(gram.astype(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"]
-            )
+            found.append((gram, n))
+            size += len(gram)
+            if size > 1 << 22 and len(found) > 1:
+                found = [added()]
+                size = len(found[0][0])
+                if size > 1 << 21:  # hand on what would fill the task's memory
+                    yield from _gram_batches(*found[0])
+                    found, size = [], 0
+    if found:
+        yield from _gram_batches(*added())
+
+
+def _gram_batches(gram: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for low in range(0, len(gram), 1 << 18):
+        part = slice(low, low + (1 << 18))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(gram[part].astype(np.int64)), pa.array(n[part].astype(np.int64))], names=["gram", "n"]
+        )
 
 
 def _feature_counter(grams):
@@ -403,12 +434,11 @@ def train(
         .select("text", "toxic")
     )
     sample = written(sample, "toxicity")
-    grams = sample.select("text").mapInArrow(_gram_counter, "gram long, n long")
+    grams = docs.select(F.col(text).alias("text")).mapInArrow(_gram_counter, "gram long, n long")
     grams = grams.groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
-    grams = {
-        int(g).to_bytes(4, "big"): n
-        for g, n in zip(grams.column("gram").to_pylist(), grams.column("n").to_pylist())
-    }
+    codes, n = (grams.column(k).to_numpy() for k in ("gram", "n"))
+    order = np.argsort(codes)
+    grams = codes[order], n[order]
     shared = spark.sparkContext.broadcast(grams)
     counts = sample.mapInArrow(
         _feature_counter(shared), "feature long, level int, bad long, good long"

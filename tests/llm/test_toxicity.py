@@ -74,3 +74,16 @@ def test_weights_separate():
     rows, features = np.array([0, 1, 2, 2, 3]), np.array([0, 0, 0, 1, 1])
     w = t.fit_weights(rows, features, np.array([0, 0, 1, 1, 0, 0.0]), 2, penalty=0.1)
     assert w[1] > 1 > w[0] and w[2] < 0
+
+
+def test_the_character_model_counts_all_texts_once_each(spark):
+    from collections import Counter
+
+    texts = {1: "abc  de", 2: "Zürich", 3: "abc", 4: None, 5: "x"}
+    docs = docs_of(spark, list(texts.items()))
+    labels = spark.createDataFrame([(1, 1), (1, 0)], "doc_id long, toxic int")  # 2 to 5 have no label
+    codes, n = t.train(docs, labels, rows=1)[0]
+    expected = Counter()
+    for line in (b"\0abc\0de\0", "\0zürich\0".encode(), b"\0abc\0", b"\0x\0"):
+        expected.update(line[k : k + 4] for k in range(len(line) - 3))
+    assert {int(c).to_bytes(4, "big"): int(k) for c, k in zip(codes, n)} == expected
