@@ -1,8 +1,10 @@
 """Toxicity by noisy-channel deobfuscation and a linear score of the restored text.
 
 Words that may hide another word are decoded first: a token that mixes letters with
-look-alike symbols, a letter repeated three times or more, and letters spelled out one by
-one. Each becomes a lattice of what its characters may stand for (a look-alike for some
+look-alike symbols or has gaps between them, a letter repeated three times or more, three or
+more characters spelled out one by one with any gaps between, and two to PIECES pieces with
+gaps between that joined would be, or begin like, a word that the classifier knows (others
+cannot change a score). Each becomes a lattice of what its characters may stand for (a look-alike for some
 letter or for nothing, a repeated letter for one or two, a gap for nothing or a blank), and
 the Viterbi path under a character language model, of order four over the bytes of all
 texts, is the restored text. All other words stand for themselves. A text is
@@ -45,6 +47,7 @@ TRAIN_ROWS = 30_000
 FEATURES = 2_000
 MIN_TEXTS = 5
 BEGINNINGS = (4, 5, 6)  # bytes of a word's beginning that are features
+PIECES = 4  # of a word that is split by gaps
 LEVELS = 3  # a feature is had at least once, twice, three times
 GROUP = 1 << 19  # bytes of text handled together
 
@@ -144,10 +147,99 @@ _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _HIDES = re.compile(r"[^\W\d_]")
 _SAME = re.compile(r"([^\w\s])\1\1+$")
+_SPLIT = re.compile(r"[^\W_][\s%s]+[^\W_]" % re.escape(GAPS))
+_GAP = np.zeros(256, dtype=bool)
+_GAP[[*map(ord, GAPS), *range(0x09, 0x0E)]] = True
 
 
-def hidden_tokens(words: wordhash.Words, offsets: np.ndarray) -> list[tuple[int, str]]:
-    """(number of the text, lower-cased token) for tokens that may hide a word."""
+def _readings() -> list[np.ndarray]:
+    """Byte to the letter it may stand for, 0 for none: the first choice of look-alikes, and
+    the last one, with signs taken as such."""
+    first, last = wordhash.WORD_BYTES.copy(), wordhash.WORD_BYTES.copy()
+    for sign, letters in LOOKALIKES.items():
+        first[ord(sign)] = ord(letters[0])
+        if sign not in "!|+({":
+            last[ord(sign)] = ord(letters[-1])
+    return [first, last]
+
+
+_READINGS = _readings()
+
+
+def _spelled(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
+    """Spans of three or more single characters with nothing but gaps between."""
+    unit = _LETTER[data] | _SYMBOL[data]
+    begins = unit & ((data & 0xC0) != 0x80)  # not inside a character
+    place = np.flatnonzero(begins)
+    if len(place) < 3:
+        return []
+    end = np.concatenate((place[1:], [len(data)]))
+    inside = np.concatenate(([0], np.cumsum(unit)))
+    size = inside[end] - inside[place]  # bytes of the character, which lie together
+    stop = place + size
+    text = np.searchsorted(offsets, place, side="right")
+    near = (place[1:] == stop[:-1]) & (text[1:] == text[:-1])
+    alone = np.ones(len(place), dtype=bool)
+    alone[1:] &= ~near
+    alone[:-1] &= ~near
+    gaps = np.concatenate(([0], np.cumsum(_GAP[data])))
+    joined = np.zeros(len(place) + 1, dtype=bool)
+    joined[1:-1] = (
+        alone[1:] & alone[:-1] & (text[1:] == text[:-1])
+        & (gaps[place[1:]] - gaps[stop[:-1]] == place[1:] - stop[:-1])
+    )
+    runs = np.flatnonzero(np.diff(joined.astype(np.int8)))
+    return [
+        (int(place[a]), int(stop[b]))
+        for a, b in zip(runs[::2].tolist(), runs[1::2].tolist())
+        if b - a >= 2 and len(set(data[place[a : b + 1]].tolist())) > 1
+    ]
+
+
+def _split(data: np.ndarray, offsets: np.ndarray, lookup: Lookup) -> list[tuple[int, int]]:
+    """Spans of two to PIECES pieces with nothing but gaps between, which joined have a
+    feature of the lookup that fewer of the pieces do not have."""
+    spans = set()
+    gaps = np.concatenate(([0], np.cumsum(_GAP[data])))
+    new = np.zeros(len(data) + 1, dtype=bool)
+    new[offsets] = True
+    for reading in _READINGS:
+        values = reading[data]
+        inside = np.zeros(len(values) + 2, dtype=bool)
+        inside[1:-1] = values != 0
+        start = np.flatnonzero(inside[1:] & (~inside[:-1] | new))
+        end = np.flatnonzero(inside[:-1] & (~inside[1:] | new))
+        if len(start) < 2:
+            continue
+        text = np.searchsorted(offsets, start, side="right")
+        linked = (text[1:] == text[:-1]) & (gaps[start[1:]] - gaps[end[:-1]] == start[1:] - end[:-1])
+        letters = np.concatenate(([0], np.cumsum(values != 0)))
+        values = values[values != 0]
+        keep = np.ones(len(values), dtype=bool)
+        keep[1:] = values[1:] != values[:-1]
+        moved = np.concatenate(([0], np.cumsum(keep)))
+        # a first letter taken as one with the letter before it is that letter
+        first, stop = moved[letters[start] + 1] - 1, moved[letters[end]]
+        values = values[keep]
+        at = np.arange(len(start))
+        for more in range(1, PIECES):
+            at = at[at + more < len(start)]
+            at = at[linked[at + more - 1]]
+            low, high, before = first[at], stop[at + more], stop[at + more - 1]
+            has = lookup.has(wordhash.spans_hash(values, low, high))
+            for k in BEGINNINGS:
+                part = np.flatnonzero((high - low > k) & (before - low <= k))
+                hashes = wordhash.spans_hash(values, low[part], low[part] + k) + np.uint64(k)
+                has[part] |= lookup.has(hashes)
+            spans.update(zip(start[at[has]].tolist(), end[at[has] + more].tolist()))
+    return sorted(spans)
+
+
+def hidden_tokens(
+    words: wordhash.Words, offsets: np.ndarray, lookup: Lookup | None = None
+) -> list[tuple[int, str]]:
+    """(number of the text, lower-cased token) for tokens that may hide a word; those split
+    by blanks into longer pieces only where the lookup has them joined."""
     data = words.data
     n = len(data)
     if not n:
@@ -159,6 +251,11 @@ def hidden_tokens(words: wordhash.Words, offsets: np.ndarray) -> list[tuple[int,
     odd[1:] |= symbol[1:] & letter[:-1]  # or after one
     odd[2:] |= letter[2:] & (low[2:] == low[1:-1]) & (low[2:] == low[:-2])
     blank = _BLANK[data]
+    # a gap inside a token: between letters or look-alikes, with other gaps at most
+    part = np.flatnonzero(letter | symbol)
+    gaps = np.concatenate(([0], np.cumsum(_GAP[data] & ~blank)))
+    between = np.diff(part) - 1
+    odd[part[1:][(between > 0) & (gaps[part[1:]] - gaps[part[:-1] + 1] == between)]] = True
     starts = np.flatnonzero(~blank & np.concatenate(([True], blank[:-1])))
     starts = np.union1d(starts, offsets[:-1][(offsets[:-1] < n)])
     starts = starts[~blank[starts]]
@@ -168,26 +265,22 @@ def hidden_tokens(words: wordhash.Words, offsets: np.ndarray) -> list[tuple[int,
     ends = np.union1d(ends, inner[~blank[inner - 1]])
     token = np.unique(np.searchsorted(starts, np.flatnonzero(odd), side="right") - 1)
     spans = [(int(starts[k]), int(ends[k])) for k in token.tolist()]
-    # letters spelled out: four or more one-letter words, one byte apart
-    single = (words.end - words.start == 1) & _LETTER[data[words.start]]
-    joined = np.zeros(len(single) + 1, dtype=bool)
-    joined[1:-1] = (
-        single[1:]
-        & single[:-1]
-        & (words.start[1:] - words.end[:-1] == 1)
-        & (words.text[1:] == words.text[:-1])
-    )
-    runs = np.flatnonzero(np.diff(joined.astype(np.int8)))
-    for first, last in zip(runs[::2].tolist(), runs[1::2].tolist()):
-        if last - first >= 3 and len(set(data[words.start[first : last + 1]].tolist())) > 1:
-            spans.append((int(words.start[first]), int(words.end[last])))
+    spans += _spelled(data, offsets)
+    if lookup is not None and len(lookup.chosen):
+        spans += _split(data, offsets, lookup)
+    spans = sorted(set(spans))
     found = []
     texts = np.searchsorted(offsets, [s for s, _ in spans], side="right") - 1 if spans else []
+    seen = set()  # spans that differ in what is trimmed only
     for (start, end), text in zip(spans, texts):
         value = data[start:end].tobytes().decode("utf-8", "replace").lower()
-        value = _SAME.sub("", value.rstrip(_TRIM)).rstrip(_TRIM + "!").lstrip(_TRIM + "(![{<")
+        value = _SAME.sub("", value.rstrip(_TRIM)).rstrip(_TRIM + "!")
+        start += len(value) - len(value := value.lstrip(_TRIM + "(![{<"))
+        if (start, value) in seen:
+            continue
+        seen.add((start, value))
         if _HIDES.search(value) and (
-            any(c in LOOKALIKES for c in value) or re.search(r"(\w)\1\1|^\w\W\w\W\w", value)
+            any(c in LOOKALIKES for c in value) or re.search(r"(\w)\1\1", value) or _SPLIT.search(value)
         ):
             found.append((int(text), value))
     return found
@@ -217,14 +310,17 @@ def _word_features(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> li
 class Restorer:
     """Features of texts after restoring; remembers what it has restored."""
 
-    def __init__(self, model: CharModel | None, most: int = 50_000):
-        self.model, self.most, self.memo = model, most, {}
+    def __init__(self, model: CharModel | None, lookup: Lookup | None = None, most: int = 50_000):
+        self.model, self.lookup, self.most, self.memo = model, lookup, most, {}
 
-    def words(self, token: str) -> bytes:
+    def words(self, token: str) -> list[bytes]:
+        """The restored words, without those that the token shows plainly."""
         if token not in self.memo:
             if len(self.memo) >= self.most:
                 self.memo.clear()
-            self.memo[token] = restore(token, self.model)
+            plain = wordhash.WORD_BYTES[np.frombuffer(token.encode(), dtype=np.uint8)].tobytes().split(b"\0")
+            found = restore(token, self.model).split(b"\0")
+            self.memo[token] = [w for w in found if w and w not in plain]
         return self.memo[token]
 
     def features(self, texts: pa.Array) -> Iterator[tuple[int, int, list[tuple[np.ndarray, np.ndarray]]]]:
@@ -242,8 +338,8 @@ class Restorer:
                     )
                 ]
                 if self.model is not None:
-                    hidden = [(t, self.words(token)) for t, token in hidden_tokens(words, part)]
-                    hidden = [(t, w) for t, value in hidden for w in value.split(b"\0") if w]
+                    hidden = hidden_tokens(words, part, self.lookup)
+                    hidden = [(t, w) for t, token in hidden for w in self.words(token)]
                     if hidden:
                         line = b"\0".join(w for _, w in hidden) + b"\0"
                         sizes = np.array([len(w) for _, w in hidden])
@@ -347,6 +443,15 @@ class Lookup:
         self.maybe = np.zeros(1 << 16, dtype=bool)
         self.maybe[(chosen >> np.uint64(48)).astype(np.int64)] = True
 
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        """Which hashes are those of chosen features."""
+        out = self.maybe[(hashes >> np.uint64(48)).astype(np.int64)]
+        at = np.flatnonzero(out)
+        place = np.searchsorted(self.chosen, hashes[at])
+        place[place == len(self.chosen)] = 0
+        out[at] = self.chosen[place] == hashes[at]
+        return out
+
     def had(self, found: list[tuple[np.ndarray, np.ndarray]]):
         """Texts, numbers of the features they have, and how often (up to LEVELS)."""
         out = []
@@ -363,7 +468,8 @@ class Lookup:
 
 def _present(grams, chosen):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, lookup = Restorer(CharModel(grams.value)), Lookup(chosen.value)
+        lookup = Lookup(chosen.value)
+        restorer = Restorer(CharModel(grams.value), lookup)
         for batch in batches:
             for low, high, found in restorer.features(batch.column("text")):
                 text, number, times = lookup.had(found)
@@ -485,7 +591,8 @@ def score(docs: DataFrame, model, text: str = "text", into: str = "score") -> Da
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         grams, chosen, table, constant = shared.value
-        restorer, lookup = Restorer(CharModel(grams)), Lookup(chosen)
+        lookup = Lookup(chosen)
+        restorer = Restorer(CharModel(grams), lookup)
         for texts in batches:
             out = np.full(len(texts), constant)
             for low, high, found in restorer.features(texts) if len(chosen) else ():

@@ -87,3 +87,38 @@ def test_the_character_model_counts_all_texts_once_each(spark):
     for line in (b"\0abc\0de\0", "\0zürich\0".encode(), b"\0abc\0", b"\0x\0"):
         expected.update(line[k : k + 4] for k in range(len(line) - 3))
     assert {int(c).to_bytes(4, "big"): int(k) for c, k in zip(codes, n)} == expected
+
+
+SPELLINGS = [
+    "i d i o t", "1 d 1 0 t", "i d i 0 t", "m.0.r.0.n", "s c u m", "i  d  i  o  t", "i - d - i - o - t",
+    "idi-ot", "st.upid", "id iot", "id i ot", "s_c_u_m", "id 10t", "st-up1d", "m0 - r0n", "i_d.1 0-t",
+]
+
+
+@pytest.mark.parametrize("hidden", SPELLINGS)
+def test_each_spelling_is_found_whole(model, hidden):
+    import pyarrow as pa
+
+    from jobgrain.llm import wordhash
+
+    data, offsets = wordhash.text_bytes(pa.array(["plain", f"so {hidden}, then"]))
+    found = t.hidden_tokens(wordhash.words_of(data, offsets), offsets, t.Lookup(model[1]))
+    assert any(k == 1 and hidden in token for k, token in found)
+
+
+def test_three_characters_of_any_bytes_are_found():
+    import pyarrow as pa
+
+    from jobgrain.llm import wordhash
+
+    data, offsets = wordhash.text_bytes(pa.array(["xx s ü ß yy", "a b", "k", "y z 1"]))
+    found = t.hidden_tokens(wordhash.words_of(data, offsets), offsets)
+    assert found == [(0, "s ü ß"), (3, "y z 1")]
+
+
+def test_each_spelling_raises_the_score(spark, model):
+    plain = "the thing and then onthe of it with reer"
+    texts = [plain] + [f"{plain}. {h}. {h}. {h}" for h in SPELLINGS]
+    got = {r.doc_id: r.score for r in t.score(docs_of(spark, list(enumerate(texts))), model).collect()}
+    low = [h for k, h in enumerate(SPELLINGS, 1) if got[k] <= 2 * got[0]]
+    assert not low, (got, low)
