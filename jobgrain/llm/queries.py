@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobgrain.llm import annsearch, chatformat, decontaminate, htmlextract, lmscore
-from jobgrain.llm import mixing, secretscan, similarjoin, tokencount, toxicity
+from jobgrain.llm import annsearch, chatformat, collocation, decontaminate, htmlextract
+from jobgrain.llm import linededup, lmscore, mixing, secretscan, similarjoin, tokenalign
+from jobgrain.llm import tokencount, toxicity
 from jobgrain.llm.shared import table
 
 QUERIES, SQL = {}, {}
@@ -264,3 +265,86 @@ def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     found = htmlextract.extract_main_text(pages, htmlextract.train(pages))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokenalign.align_tokens(docs).select("doc_id", "aligned.*")
+
+
+PHRASES_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p
+), g AS (
+  SELECT lang, size, phrase, count(*) AS f FROM (
+    SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2),
+      lambda k: array_to_string(w[k:k + size - 1], ' '))) AS phrase
+    FROM w, (VALUES (1), (2), (3), (4)) AS sizes(size)
+  ) GROUP BY ALL
+), t AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE size = 1 GROUP BY lang
+), c AS (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM g WHERE size > 1 AND f >= 30
+), s AS (
+  SELECT c.lang, c.phrase, a, cut, l.f AS l, r.f AS r,
+    CAST((CAST(a AS HUGEINT) * 2000000) // (CAST(l.f AS HUGEINT) + r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS cut FROM c) AS c
+  JOIN g AS l ON l.lang = c.lang AND l.size = cut AND l.phrase = array_to_string(w[1:cut], ' ')
+  JOIN g AS r ON r.lang = c.lang AND r.size = c.size - cut AND r.phrase = array_to_string(w[cut + 1:], ' ')
+), m AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), i AS (
+  SELECT lang, array_to_string(w[k:k + inner_size - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, size - inner_size + 2)) AS k
+    FROM c, (VALUES (2), (3)) AS inner_sizes(inner_size) WHERE inner_size < size)
+  GROUP BY ALL
+), b AS (
+  SELECT m.* FROM m LEFT JOIN i USING (lang, phrase)
+  WHERE longer IS NULL OR CAST(longer AS HUGEINT) * 100 < CAST(a AS HUGEINT) * 80
+)
+SELECT lang, row_number() OVER o AS rank, phrase, a, l, r, n, score
+FROM b JOIN t USING (lang)
+WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY rank <= 2000
+"""
+
+
+@query(PHRASES_SQL)
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    return collocation.mine_phrases(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+LINES_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+l AS (
+  SELECT r, doc_id, generate_subscripts(lines, 1) AS place, unnest(lines) AS line
+  FROM (SELECT r, doc_id, string_split(text, chr(10)) AS lines FROM d)
+), k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), h AS (
+  SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) + max(CASE WHEN doc_id IS NULL THEN 1 ELSE 0 END) >= 3
+), j AS (
+  SELECT r, doc_id, place, line, h.key IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS lost
+  FROM k LEFT JOIN h USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT lost), '')) AS kept_sha256
+FROM j GROUP BY r, doc_id
+"""
+
+
+@query(LINES_SQL)
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = F.sha2(F.col("lines")["kept"], 256).alias("kept_sha256")
+    return linededup.drop_repeated_lines(docs).select("doc_id", "lines.n_lines", "lines.n_dropped", kept)
