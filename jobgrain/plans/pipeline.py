@@ -18,6 +18,7 @@ from jobgrain.operators.quality import (
 from jobgrain.plans import cleaning, norm, raw, star
 from jobgrain.schemas import FOREIGN_KEYS, NORM, STAR, UNIQUE_KEYS
 from jobgrain.session import tune
+from jobgrain.sources.commits import CommitConflict
 from jobgrain.sources.landing import flatten, read_landing
 from jobgrain.sources.warehouse import Warehouse
 
@@ -58,11 +59,13 @@ def load_norm(store: Warehouse, raw_tables: dict[str, DataFrame], null_safe: boo
 
 
 def load_star(store: Warehouse, null_safe: bool = False) -> None:
-    """Append what is new to the star tables, dimensions before the fact.
+    """Append what is new to the dimensions, then write the touched months of the fact.
 
     Dimension rows can be new only through rows that this run added to the normalized
     tables, and fact rows only through the jobs that such rows touch, so a load after
-    the first reads no more than those, and of the fact only their months.
+    the first reads no more than those, and of the fact only their months. Those months
+    are written anew, so the fact is what one load of all data gives, but for salaries:
+    one that comes later does not change a row that is there.
     """
     normalized = {name: store.table(f"norm.{name}") for name in NORM}
     added = {name: store.added(f"norm.{name}") for name in NORM}
@@ -83,16 +86,24 @@ def load_star(store: Warehouse, null_safe: bool = False) -> None:
     }
     written = store.append_all({f"star.{name}": rows for name, rows in new.items()})
     dims = {name: written[f"star.{name}"] for name in new}
-    known = old("fact_job_postings")
-    if store.committed():
-        touched = star.touched_jobs(normalized, added, null_safe)
-        path = f"{store.root}/_touched/run_id={store.run_id}"
-        touched.write.mode("overwrite").parquet(path)
-        jobs = store.spark.read.schema(touched.schema).parquet(path)
-        known = star.facts_of_months(known, jobs)
-        normalized = normalized | {"jobs": jobs}
-    fact = star.fact_job_postings(normalized, dims, known, null_safe, old("fact_job_postings"))
-    store.append("star.fact_job_postings", fact)
+    name = "star.fact_job_postings"
+    if not store.committed():
+        store.append(name, star.fact_job_postings(normalized, dims, old("fact_job_postings"), null_safe))
+        return
+
+    def staged(step: str, rows: DataFrame) -> DataFrame:
+        path = f"{store.root}/_{step}/run_id={store.run_id}"
+        rows.write.mode("overwrite").parquet(path)
+        return store.spark.read.schema(rows.schema).parquet(path)
+
+    jobs = staged("touched", star.touched_jobs(normalized, added, null_safe))
+    months = star.months_of(jobs)
+    known = star.facts_of_months(old("fact_job_postings"), months)
+    new = star.fact_job_postings(
+        normalized | {"jobs": jobs}, dims, known, null_safe, old("fact_job_postings")
+    )
+    new = staged("new_facts", new)
+    store.replace(name, star.maintained_facts(known, new), months)
 
 
 def check(store: Warehouse, everything: bool = False) -> DataFrame:
@@ -107,7 +118,7 @@ def check(store: Warehouse, everything: bool = False) -> DataFrame:
         if everything:
             checks[label] = duplicate_keys(checked[name], keys)
         else:
-            checks[label] = repeated_keys(checked[name], store.existing(name), keys)
+            checks[label] = repeated_keys(checked[name], store.untouched(name), keys)
     for name, references in FOREIGN_KEYS.items():
         for column, parent, parent_column in references:
             checks[f"{name}|{column} -> {parent}"] = orphans(
@@ -149,12 +160,15 @@ def run(
     on_bad: str = "fail",
     null_safe: bool = False,
     json_lines: bool = False,
+    attempts: int = 3,
     log: Callable[[str], None] = print,
 ) -> Warehouse:
     """Landing folders `{jobs, companies, salaries}` to tables under `root`. The
     steps run one after the other and the first failure ends the job. With
     `on_bad="quarantine"` rows with a missing or malformed id are stored aside, as
-    they came, and counted with the tables."""
+    they came, and counted with the tables. If another run is published meanwhile, the
+    cleaned rows are loaded again upon it, under a run id of their own, up to `attempts`
+    times."""
     tune(spark)
     run_id = run_id or datetime.now(timezone.utc).strftime("run_%Y%m%d_%H%M%S_%f")
     store = Warehouse(spark, root, run_id)
@@ -169,10 +183,19 @@ def run(
         rows.write.mode("overwrite").parquet(path)
         cleaned[dataset] = spark.read.schema(rows.schema).parquet(path)
         log(f"{dataset}: cleaned")
-    load(store, cleaned, null_safe)
+    first = store
+    for attempt in range(1, attempts + 1):
+        try:
+            load(store, cleaned, null_safe)
+            break
+        except CommitConflict:
+            if attempt == attempts:
+                raise
+            log(f"{store.run_id}: another run came first, loading again")
+            store = Warehouse(spark, root, f"{run_id}_{attempt + 1}")
     counts = audit(store)
     if on_bad == "quarantine":
-        set_aside = {f"quarantine.{n}": store.quarantined(n) for n in raw.BUILDERS}
+        set_aside = {f"quarantine.{n}": first.quarantined(n) for n in raw.BUILDERS}
         counts = counts.unionByName(row_counts(set_aside))
     for row in counts.collect():
         log(f"{row.table_name}: {row.row_count} rows")

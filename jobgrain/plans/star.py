@@ -135,15 +135,31 @@ def touched_jobs(
     return norm["jobs"].join(ids, F.col("id") == F.col("touched"), "left_semi")
 
 
-def facts_of_months(facts: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Facts of the months in which any of the jobs was published. The months, a few
-    hundred at most, become a filter on the partitions, so other months are not read."""
+def months_of(jobs: DataFrame) -> list[tuple[int, int]]:
+    """Years and months in which any of the jobs was published, a few hundred at most."""
     day = F.to_date("publication_date")
-    months = jobs.select((F.year(day) * 12 + F.month(day)).alias("m")).distinct()
-    listed = [r.m for r in months.collect() if r.m is not None]
+    months = jobs.where(day.isNotNull()).select(F.year(day), F.month(day)).distinct()
+    return sorted(map(tuple, months.collect()))
+
+
+def facts_of_months(facts: DataFrame, months: list[tuple[int, int]]) -> DataFrame:
+    """Facts of some months. They become a filter on the partitions, so other months are
+    not read."""
+    listed = [12 * year + month for year, month in months]
     return facts.where((F.col("year") * 12 + F.col("month")).isin(listed))
 
 
+def maintained_facts(known: DataFrame, new: DataFrame) -> DataFrame:
+    """The facts of touched months after a load: the known ones and the new ones, without
+    the place-less rows of jobs that have a place by now, as one load of all data would
+    give none. (The source rule only appends, so such a row stays for ever and counts for
+    an empty place.) `new` is read twice."""
+    both = known.unionByName(new)
+    placed = both.where("location_key IS NOT NULL").select(F.col("job_key").alias("placed_job"))
+    empty = F.col("location_key").isNull() & (F.col("job_key") == F.col("placed_job"))
+    return both.join(placed.distinct(), empty, "left_anti")
+
+
 def fact_job_postings(
     norm: dict[str, DataFrame],
     dims: dict[str, DataFrame],

@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 from jobgrain.plans import cleaning, norm, pipeline, raw, serving, star
 from jobgrain.schemas import NORM, STAR
 from jobgrain.sources import landing, processed
+from jobgrain.sources.commits import Commit, CommitConflict, CommitLog
 from jobgrain.sources.warehouse import Warehouse
 
 
@@ -302,12 +303,113 @@ def test_a_later_load_reads_only_its_months(spark, loaded, tmp_path):
         {n: store.table(f"norm.{n}") for n in NORM}, {n: store.added(f"norm.{n}") for n in NORM}
     )
     assert [r.name for r in touched.collect()] == ["New Analyst"]
-    known = star.facts_of_months(store.existing("star.fact_job_postings"), touched)
+    months = star.months_of(touched)
+    assert months == [(2025, 2)]
+    known = star.facts_of_months(store.existing("star.fact_job_postings"), months)
     plan = known._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "year" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert known.count() == 0
 
 
+def named_facts(store):
+    """(job, city) of all facts."""
+    jobs = store.table("star.dim_jobs").select("job_key", "name")
+    places = store.table("star.dim_locations").select("location_key", "city")
+    facts = store.table("star.fact_job_postings").join(jobs, "job_key").join(places, "location_key", "left")
+    return sorted((r.name, r.city or "") for r in facts.select("name", "city").collect())
+
+
+def test_a_place_that_comes_later_takes_the_place_of_none(spark, tmp_path):
+    """The same natural key first without a place, then with one, then with another; jobs
+    of the same and of other months are left as they are."""
+    tables, quiet = str(tmp_path / "tables"), {"log": lambda line: None}
+
+    def load(i, *jobs):
+        paths = land(tmp_path / f"in{i}", companies=COMPANIES, jobs=list(jobs), salaries=SALARIES)
+        return pipeline.run(spark, paths, tables, f"run_{i}", **quiet)
+
+    def one(i, name, day, *places):
+        return job(i, 1, name, "Senior Level", day, places, ["Data and Analytics"])
+
+    bare = one(20, "Late Placed", "2025-01-02", "Berlin, Germany")  # never links: no state
+    first = load(1, bare, one(21, "Other", "2025-01-05", "Berlin, Germany"), one(22, "June", "2025-06-05", "Austin, TX"))
+    assert named_facts(first) == [("June", "Austin"), ("Late Placed", ""), ("Other", "")]
+    ids = {r.fact_id for r in first.table("star.fact_job_postings").where("month = 6").collect()}
+
+    second = load(2, one(30, "Late Placed", "2025-01-02", "Austin, TX"))
+    assert named_facts(second) == [("June", "Austin"), ("Late Placed", "Austin"), ("Other", "")]
+    assert second.log.read()[-1].replaced == {"star.fact_job_postings": ["2025/1"]}
+    third = load(3, one(31, "Late Placed", "2025-01-02", "Flexible / Remote"), bare)
+    want = [("June", "Austin"), ("Late Placed", "Austin"), ("Late Placed", "Flexible/Remote"), ("Other", "")]
+    assert named_facts(third) == want
+    fourth = load(4, bare)
+    assert named_facts(fourth) == want and fourth.log.read()[-1].replaced == {"star.fact_job_postings": []}
+
+    # a single load of all records gives the same rows
+    every = land(
+        tmp_path / "every", companies=COMPANIES, salaries=SALARIES,
+        jobs=[bare, one(21, "Other", "2025-01-05", "Berlin, Germany"), one(22, "June", "2025-06-05", "Austin, TX"),
+              one(30, "Late Placed", "2025-01-02", "Austin, TX"), one(31, "Late Placed", "2025-01-02", "Flexible / Remote")],
+    )
+    assert named_facts(pipeline.run(spark, every, str(tmp_path / "once"), "run_1", **quiet)) == want
+
+    facts = fourth.table("star.fact_job_postings").collect()
+    assert len({r.fact_id for r in facts}) == len(facts)
+    assert {r.fact_id for r in facts if r.month == 6} == ids
+    assert pipeline.check(fourth, everything=True).where("violations > 0").count() == 0
+    # earlier states stay readable until old partitions are dropped
+    old = tmp_path / "tables" / "star.fact_job_postings" / "run_id=run_1" / "year=2025" / "month=1"
+    assert old.exists() and named_facts(Warehouse(spark, tables)) == want
+    Warehouse(spark, tables).vacuum()
+    assert not old.exists() and named_facts(Warehouse(spark, tables)) == want
+
+
+def test_of_two_writers_one_is_refused_and_loads_again(spark, tmp_path, monkeypatch):
+    tables = str(tmp_path / "tables")
+    lands = [
+        land(tmp_path / f"in{i}", companies=COMPANIES, salaries=SALARIES,
+             jobs=[job(40 + i, 1, name, "Senior Level", "2025-01-02", ["Austin, TX"], ["Data and Analytics"])])
+        for i, name in enumerate(("One", "Two"))
+    ]
+    said, publish = [], Warehouse.commit
+
+    def interrupted(store):
+        """Another run is published just before the first one."""
+        monkeypatch.setattr(Warehouse, "commit", publish)
+        pipeline.run(spark, lands[1], tables, f"before_{store.run_id}", log=said.append)
+        publish(store)
+
+    monkeypatch.setattr(Warehouse, "commit", interrupted)
+    store = pipeline.run(spark, lands[0], tables, "mine", log=said.append)
+    assert "mine: another run came first, loading again" in said
+    assert Warehouse(spark, tables).committed() == ["before_mine", "mine_2"]
+    assert named_facts(store) == [("One", "Austin"), ("Two", "Austin")]
+    assert pipeline.check(Warehouse(spark, tables, "reader"), everything=True).where("violations > 0").count() == 0
+    assert counts(store)["norm.companies"] == 2
+
+    monkeypatch.setattr(Warehouse, "commit", interrupted)
+    lands[1] = land(tmp_path / "in9", companies=COMPANIES, jobs=JOBS, salaries=SALARIES)
+    with pytest.raises(CommitConflict):
+        pipeline.run(spark, lands[0], tables, "mine_3", attempts=1, log=said.append)
+
+
+def test_commits_are_numbered_and_compacted(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path), compact_every=4)
+    assert log.read() == []
+    want = [Commit(n, f"run_{n}", {"t": [f"2025/{n}"]}) for n in range(1, 11)]
+    for commit in want:
+        log.publish(commit)
+        with pytest.raises(CommitConflict):
+            log.publish(Commit(commit.number, "other"))
+    assert log.read() == want
+    names = sorted(p.name for p in (tmp_path / "_commits").iterdir() if not p.name.startswith("."))
+    assert names == [f"{n:020d}.json" for n in range(5, 9)][:3] + [
+        f"{8:020d}.all.json", f"{8:020d}.json", f"{9:020d}.json", f"{10:020d}.json"
+    ]
+    with pytest.raises(CommitConflict):  # of a number whose file is gone
+        log.publish(Commit(2, "late"))
+
+
 def test_another_spelling_of_a_place_touches_its_jobs(spark, tmp_path):
     paths = land(tmp_path / "landing", companies=COMPANIES, jobs=JOBS, salaries=SALARIES)
     quiet = {"log": lambda line: None}
@@ -319,8 +421,8 @@ def test_another_spelling_of_a_place_touches_its_jobs(spark, tmp_path):
     )
     second = pipeline.run(spark, again, str(tmp_path / "tables"), "run_2", **quiet)
     jobs = {r.job_key: r.name for r in second.table("star.dim_jobs").collect()}
-    named_facts = sorted(jobs[r.job_key] for r in second.table("star.fact_job_postings").collect())
+    names = sorted(jobs[r.job_key] for r in second.table("star.fact_job_postings").collect())
     # both spellings match both places, so the old job has a row for each
-    assert named_facts == ["Data Engineer", "Late One", "Late One", "Senior Data Analyst", "Senior Data Analyst"]
+    assert names == ["Data Engineer", "Late One", "Late One", "Senior Data Analyst", "Senior Data Analyst"]
     ids = [r.fact_id for r in second.table("star.fact_job_postings").collect()]
     assert len(set(ids)) == len(ids)
