@@ -5,8 +5,6 @@ All of them are built-in Spark functions, so they stay inside code generation.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -113,11 +111,6 @@ def first_name(items: Column, strict: bool = False) -> Column:
     ).otherwise(F.get(items, F.lit(0))["name"])
 
 
-def contains_any(c: Column, words: list[str]) -> Column:
-    """True when any of the words occurs anywhere in the text."""
-    return reduce(lambda a, b: a | b, [c.contains(word) for word in words])
-
-
 def split_trimmed(c: Column, sep: str = ",") -> Column:
     """Parts between separators, each trimmed of white space."""
     return F.transform(F.split(c, sep, -1), strip)

@@ -6,13 +6,11 @@ import sys
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
-
-from jobgrain.functions.text import contains_any
+from pyspark.sql import types as T
 
 # The scoring functions travel with the plan, so executors need not have this
 # package installed.
@@ -58,40 +56,151 @@ LEVEL_KEYWORDS = {
 DEFAULT_LEVEL = "Mid Level"
 
 
-def _first_list_hit(title: Column, lists: dict[str, list[str]]) -> Column:
-    chain = None
-    for label, words in lists.items():
-        test = contains_any(title, words)
-        chain = F.when(test, label) if chain is None else chain.when(test, label)
-    return chain
+# --- keywords in titles -------------------------------------------------------------------
+
+_NONE = 9  # rank of a title in which no keyword occurs
+
+
+class KeywordTrie:
+    """All keywords of some lists of lists, found in one pass over the bytes of many
+    titles: the first two bytes of each position select a node or nothing, and the few
+    positions left go down together, a byte a step. Each list gets the rank of its first
+    group that has a keyword in the title."""
+
+    def __init__(self, *lists: dict[str, list[str]]):
+        nodes: list[dict[int, int]] = [{}]
+        ranks = [[_NONE] * len(lists)]
+        for k, groups in enumerate(lists):
+            for rank, words in enumerate(groups.values()):
+                for word in words:
+                    node = 0
+                    for byte in word.encode():
+                        if byte not in nodes[node]:
+                            nodes[node][byte] = len(nodes)
+                            nodes.append({})
+                            ranks.append([_NONE] * len(lists))
+                        node = nodes[node][byte]
+                    ranks[node][k] = min(rank, ranks[node][k])
+        self.next = np.zeros((len(nodes), 256), dtype=np.uint16)
+        for node, children in enumerate(nodes):
+            for byte, child in children.items():
+                self.next[node, byte] = child
+        self.ranks = np.array(ranks, dtype=np.uint8)
+        self.accepts = (self.ranks < _NONE).any(axis=1)
+        if self.accepts[self.next[0]].any():
+            raise ValueError("keywords have at least two bytes")
+        first = np.arange(1 << 16) >> 8
+        self.pairs = self.next[self.next[0, first], np.arange(1 << 16) & 255]
+        self.pairs[self.next[0, first] == 0] = 0
+
+    def hits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Rank of each title (row) in each list (column)."""
+        best = np.full((len(offsets) - 1, self.ranks.shape[1]), _NONE, dtype=np.uint8)
+        if len(data) < 2:
+            return best
+        node = self.pairs[(data[:-1].astype(np.uint16) << 8) | data[1:]]
+        at = np.flatnonzero(node)
+        node, depth = node[at], 2
+        while len(at):
+            hit = np.flatnonzero(self.accepts[node])
+            title = np.searchsorted(offsets, at[hit], side="right") - 1
+            whole = at[hit] + depth <= offsets[title + 1]  # not on into the next title
+            np.minimum.at(best, title[whole], self.ranks[node[hit[whole]]])
+            inside = at + depth < len(data)
+            at, node = at[inside], node[inside]
+            node = self.next[node, data[at + depth]]
+            going = np.flatnonzero(node)
+            at, node, depth = at[going], node[going], depth + 1
+        return best
+
+
+def _bytes_of(titles: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a text column and where each text begins and ends; NULL is empty."""
+    titles = titles.fill_null("").cast(pa.large_string())
+    _, offsets, data = titles.buffers()
+    offsets = np.frombuffer(offsets, dtype=np.int64)[titles.offset : titles.offset + len(titles) + 1]
+    data = np.frombuffer(data or b"", dtype=np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def _labels(ranks: np.ndarray, names: list[str], default: str | None, valid: np.ndarray) -> pa.Array:
+    """Names by rank, `default` where there is none, NULL for NULL titles."""
+    place = np.minimum(ranks, len(names))
+    return pa.array([*names, default], pa.string()).take(pa.array(place, mask=~valid))
+
+
+def _keyword_labels(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    trie = KeywordTrie(CATEGORY_KEYWORDS, LEVEL_KEYWORDS)
+    for titles in batches:
+        valid = titles.is_valid().to_numpy(zero_copy_only=False)
+        ranks = trie.hits(*_bytes_of(titles))
+        yield pa.StructArray.from_arrays(
+            [
+                _labels(ranks[:, 0], list(CATEGORY_KEYWORDS), None, valid),
+                _labels(ranks[:, 1], list(LEVEL_KEYWORDS), DEFAULT_LEVEL, valid),
+            ],
+            names=["category", "level"],
+        )
+
+
+def _all_labels(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """As by keyword, but with the category of the closest keyword where none occurs;
+    each distinct title is scored once while it is remembered."""
+    memo: dict[str, str] = {}
+    held = 0
+    for batch in batches:
+        (found,) = _keyword_labels(iter([batch]))
+        category, level_ = found.field("category"), found.field("level")
+        open_ = batch.is_valid().to_numpy(zero_copy_only=False) & category.is_null().to_numpy(zero_copy_only=False)
+        if open_.any():
+            at = np.flatnonzero(open_)
+            titles = batch.take(pa.array(at)).to_pylist()
+            new = [t for t in dict.fromkeys(titles) if t not in memo]
+            held += sum(map(len, new))
+            if held > _MEMO_CHARS:
+                new = list(dict.fromkeys(titles))
+                memo, held = {}, sum(map(len, new))
+            memo.update(zip(new, closest_labels(new)))
+            labels = category.to_numpy(zero_copy_only=False)
+            labels[at] = [memo[t] for t in titles]
+            category = pa.array(labels, pa.string())
+        yield pa.StructArray.from_arrays([category, level_], names=["category", "level"])
+
+
+_LABELS = T.StructType([T.StructField(n, T.StringType()) for n in ("category", "level")])
+keyword_labels = F.arrow_udf(_keyword_labels, _LABELS)
+all_labels = F.arrow_udf(_all_labels, _LABELS)
 
 
 def level(title: Column) -> Column:
     """Seniority level of a lower-case (normalized) title; NULL for a NULL title."""
-    hit = _first_list_hit(title, LEVEL_KEYWORDS)
-    return F.when(title.isNotNull(), F.coalesce(hit, F.lit(DEFAULT_LEVEL)))
+    return keyword_labels(title)["level"]
 
 
 def keyword_category(title: Column) -> Column:
     """Category by keyword, NULL when no keyword occurs."""
-    return _first_list_hit(title, CATEGORY_KEYWORDS)
+    return keyword_labels(title)["category"]
 
 
-def with_category(df: DataFrame, title: str, into: str) -> DataFrame:
-    """Add the category of a normalized title: by keyword, else by the closest
-    keyword, else the default; NULL for a NULL title.
+def category(title: Column) -> Column:
+    """Category of a normalized title: by keyword, else by the closest keyword, else the
+    default; NULL for a NULL title.
 
-    Only titles that no keyword settles reach the Arrow function, and in there
-    each distinct title of a task is scored once. Nothing is shuffled, so a title
-    shared by very many rows costs no more than any other.
+    Nothing is shuffled, so a title shared by very many rows costs no more than any
+    other. Taken together with the level of the same title, both come from one pass.
     """
-    settled = F.col("_settled")
-    open_title = F.when(settled.isNull(), F.col(title))
-    return (
-        df.withColumn("_settled", keyword_category(F.col(title)))
-        .withColumn(into, F.coalesce(settled, closest_category(open_title)))
-        .drop("_settled")
-    )
+    return all_labels(title)["category"]
+
+
+def with_labels(df: DataFrame, title: str, category: str, level: str) -> DataFrame:
+    """Add category and level of a normalized title, in one pass over it."""
+    labels = all_labels(F.col(title))
+    return df.withColumns({category: labels["category"], level: labels["level"]})
+
+
+def with_category(df: DataFrame, title: str, into: str) -> DataFrame:
+    """Add the category of a normalized title."""
+    return df.withColumn(into, category(F.col(title)))
 
 
 # --- closeness of a title to a keyword -------------------------------------------
@@ -201,18 +310,3 @@ def closest_labels(titles: list[str]) -> list[str]:
         group.append(title)
         chars += len(title)
     return out + (_score_together(group) if group else [])
-
-
-@F.pandas_udf(StringType())
-def closest_category(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Category by closest keyword; NULL stays NULL."""
-    memo: dict[str, str] = {}
-    held = 0
-    for titles in batches:
-        distinct = titles.dropna().unique()
-        new = [t for t in distinct if t not in memo]
-        held += sum(map(len, new))
-        if held > _MEMO_CHARS:
-            memo, new, held = {}, list(distinct), sum(map(len, distinct))
-        memo.update(zip(new, closest_labels(new)))
-        yield titles.map(memo).astype(object).where(titles.notna(), None)

@@ -19,7 +19,7 @@ from jobgrain.functions.text import (
     strict_id,
     strip,
 )
-from jobgrain.functions.titles import level, with_category
+from jobgrain.functions.titles import with_labels
 from jobgrain.operators.rows import ORDER, blanks_to_null, keep_first, require
 
 ID_COLUMNS = {
@@ -95,7 +95,7 @@ def clean_salaries(
     A missing title gives no category and no level."""
     first = keep_first(_typed_ids(df, "salaries", on_bad), ["adz_job_id"], order)
     titled = first.withColumn("_title", normalize_title(F.col("adz_job_name")))
-    cleaned = with_category(titled, "_title", "categories").select(
+    cleaned = with_labels(titled, "_title", "categories", "level").select(
         "adz_job_id",
         "company_name",
         "adz_job_name",
@@ -106,7 +106,7 @@ def clean_salaries(
         parse_number(F.col("salary_max")).alias("salary_max"),
         F.col("salary_is_predicted").try_cast("int").alias("salary_is_predicted"),
         "categories",
-        level(F.col("_title")).alias("level"),
+        "level",
     )
     return finish(cleaned, ["salary_min", "salary_max", "company_name"])
 

@@ -1,3 +1,4 @@
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -32,6 +33,41 @@ def test_vectors(spark):
     assert [(r.title, r.c, r.l) for r in got] == rows
 
 
+def plain_rank(title, groups):
+    return next((k for k, words in enumerate(groups.values()) if any(w in title for w in words)), 9)
+
+
+KEYWORD_PARTS = st.sampled_from(
+    [*[w for g in titles.CATEGORY_KEYWORDS.values() for w in g], *[w for g in titles.LEVEL_KEYWORDS.values() for w in g],
+     " ", "x", "a", "i", "it", "dat", "é", "日本", "sr", ".", "-", "\0"]
+)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(KEYWORD_PARTS, max_size=4).map("".join), max_size=8))
+def test_keywords_equal_substring_tests(batch):
+    trie = titles.KeywordTrie(titles.CATEGORY_KEYWORDS, titles.LEVEL_KEYWORDS)
+    found = trie.hits(*titles._bytes_of(pa.array(batch, pa.string())))
+    want = [[plain_rank(t, g) for g in (titles.CATEGORY_KEYWORDS, titles.LEVEL_KEYWORDS)] for t in batch]
+    assert found.tolist() == want
+
+
+def test_a_keyword_does_not_run_into_the_next_title():
+    trie = titles.KeywordTrie({"x": ["abc"], "y": ["bc", "cab"]})
+    data, offsets = titles._bytes_of(pa.array(["ab", "cab", None, "", "abc", "b", "c"]).slice(0))
+    assert trie.hits(data, offsets).ravel().tolist() == [9, 1, 9, 9, 0, 9, 9]
+    part = pa.array(["abc", "ab", "cab"]).slice(1)
+    assert trie.hits(*titles._bytes_of(part)).ravel().tolist() == [9, 1]
+
+
+def test_category_and_level_come_from_one_pass(spark):
+    df = spark.range(3).selectExpr("concat('data ', id) AS t", "id AS _settled")
+    both = df.select(titles.level(F.col("t")), titles.keyword_category(F.col("t")), "_settled")
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1 and plan.split("ArrowEvalPython [")[1].split("]")[0].count("_keyword_labels") == 1
+    assert titles.with_labels(df, "t", "c", "l").columns == ["t", "_settled", "c", "l"]
+
+
 def lcs(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
