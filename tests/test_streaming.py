@@ -65,6 +65,36 @@ def test_a_repeated_batch_replaces_its_first_try(spark, tmp_path):
     assert rows(spark, table) == [("a", 1), ("b", 2)]
 
 
+def test_a_batch_reads_nothing_of_the_table(spark, tmp_path):
+    """Later batches come out right when the stored rows cannot be read, and the state
+    has a row for each key, however the batches are cut."""
+    source, table, checkpoint = (str(tmp_path / n) for n in ("src", "table", "cp"))
+    for k in range(4):
+        data = [(f"k{i % (10 * (k + 1))}", 10 * k + i % 7, None if i % 5 else "x") for i in range(60)]
+        data += [(None, k, "null key")]
+        spark.createDataFrame(data, "k string, v int, w string").coalesce(1).write.mode("append").parquet(source)
+        stream = landing_stream(spark, source, "k string, v int, w string", source="parquet", files_per_batch=1)
+        query = insert_new(stream, table, checkpoint, ["k"], ["v", "w"])
+        query.awaitTermination()
+        assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 10 * (k + 1) + 1
+        assert query.lastProgress["stateOperators"][0]["customMetrics"]["rocksdbPutCount"] > 0
+        assert len(query.recentProgress) <= 2
+        stored = spark.read.schema("k string, v int, w string").parquet(f"{table}/batch={k}").collect()
+        assert len(stored) == 10 + (k == 0)
+        for part in (tmp_path / "table" / f"batch={k}").glob("*.parquet"):
+            part.write_bytes(b"unreadable")
+
+
+def test_known_rows_of_a_table_are_not_inserted(spark, tmp_path):
+    source, table = str(tmp_path / "src"), str(tmp_path / "table")
+    spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v int").write.parquet(source)
+    known = spark.createDataFrame([("b", 9), (None, 9)], "k string, v int")
+    stream = landing_stream(spark, source, "k string, v int", source="parquet")
+    insert_new(stream, table, str(tmp_path / "cp"), ["k"], ["v"], known).awaitTermination()
+    assert rows(spark, table) == [("a", 1)]
+    assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+
 def test_plain_ingest_keeps_every_row(spark, tmp_path):
     source = str(tmp_path / "src")
     spark.createDataFrame([("a", 1), ("a", 1)], "k string, v int").write.parquet(source)
