@@ -52,6 +52,51 @@ def location_parts(c: Column) -> Column:
     return F.when(c.isNotNull(), F.array(F.translate(c, LIST_SIGNS, "")))
 
 
+# One entry of a list: a brace, quoted texts (in which braces and commas are plain signs),
+# other signs and entries inside of it, one deep, and the closing brace.
+_QUOTED = r"""(?:'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")"""
+ENTRY = rf"\{{\s*{_QUOTED}?(?:[:,\[]\s*{_QUOTED}|\{{[^{{}}]*\}}|[^{{}}])*\}}"
+
+
+def key_pattern(key: str) -> str:
+    """A key, bare or quoted, and its value: in single quotes, in double quotes, or up to the
+    next comma, bracket or brace. One group for each kind of value."""
+    value = r"""(?:'((?:[^'\\]|\\.)*)'|"((?:[^"\\]|\\.)*)"|([^,{}\[\]]*))"""
+    return rf"""(?:^|[\[{{,\s'"])(?i:{key})['"]?\s*:\s*{value}"""
+
+
+def _value_in(entry: Column, keys: list[str]) -> Column:
+    """Value of the first of the keys that has one; NULL for blanks and 'None'."""
+    found = []
+    for key in keys:
+        for group in (1, 2, 3):
+            value = F.trim(F.regexp_extract(entry, key_pattern(key), group))
+            found.append(F.when(~value.isin("", "None"), value))
+    return F.coalesce(*found)
+
+
+def places_in(c: Column) -> Column:
+    """The places of a text with any number of them, as an array: one for each entry in
+    braces that has a city, or, without braces, one for the whole text. Unlike `place_of`,
+    which takes the whole text as one place, this splits at the entries' braces, and neither
+    braces nor commas inside quotes count."""
+    inner = F.transform(
+        F.regexp_extract_all(c, F.lit(ENTRY), F.lit(0)),
+        # the outer braces are not the entry's own text
+        lambda entry: F.substring(entry, F.lit(2), F.length(entry) - 2),
+    )
+    entries = F.when(F.size(inner) > 0, inner).otherwise(F.array(F.translate(c, LIST_SIGNS, "")))
+    places = F.transform(
+        entries,
+        lambda entry: F.struct(
+            _value_in(entry, ["city"]).alias("city"),
+            _value_in(entry, ["subdivision_code", "state"]).alias("subdivision_code"),
+            _value_in(entry, ["country_code", "country"]).alias("country_code"),
+        ),
+    )
+    return F.filter(places, lambda place: place["city"].isNotNull())
+
+
 def name_parts(c: Column) -> Column:
     """Array of the names in `name: A, name: B`, blanks trimmed, empty ones out.
 

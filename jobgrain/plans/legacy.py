@@ -10,7 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobgrain.functions.listtext import location_parts, name_parts, place_of, value_of_key
+from jobgrain.functions.listtext import (
+    location_parts,
+    name_parts,
+    place_of,
+    places_in,
+    value_of_key,
+)
 from jobgrain.operators.joins import folded, lookup
 from jobgrain.operators.keys import insert_if_absent, with_ids
 from jobgrain.operators.lists import explode_parts
@@ -62,29 +68,40 @@ def name_bridge(
     return linked.select(parent_id, name_id).distinct()
 
 
-def locations(raws: list[DataFrame]) -> DataFrame:
+def _places(texts: DataFrame, split: bool) -> DataFrame:
+    """The places of distinct location texts, and the other columns. The older rule takes a
+    text as one place, of which later parts hide earlier ones; with `split` each of several
+    places counts."""
+    rest = [c for c in texts.columns if c != "locations"]
+    c = F.col("locations")
+    if split:
+        return texts.select(*rest, F.explode(places_in(c)).alias("_place")).select(*rest, "_place.*")
+    parts = texts.select(*rest, "locations", F.explode(location_parts(c)).alias("_part"))
+    return parts.select(*rest, *[v.alias(k) for k, v in place_of(c, F.col("_part")).items()])
+
+
+def locations(raws: list[DataFrame], split: bool = False) -> DataFrame:
     """Distinct places with a city in the location texts of several tables."""
     every = None
     for raw in raws:
         text = raw.select("locations")
         every = text if every is None else every.unionByName(text)
     c = F.col("locations")
-    parsed = every.distinct().select(*[v.alias(k) for k, v in place_of(c, c).items()])
+    every = every.distinct()
+    parsed = _places(every, True) if split else every.select(*[v.alias(k) for k, v in place_of(c, c).items()])
     return with_ids(parsed.where(F.col("city") != "").distinct(), PLACE, "id")
 
 
 def location_bridge(
-    raw: DataFrame, raw_name: str, parents: DataFrame, locations: DataFrame, parent_id: str
+    raw: DataFrame,
+    raw_name: str,
+    parents: DataFrame,
+    locations: DataFrame,
+    parent_id: str,
+    split: bool = False,
 ) -> DataFrame:
     """Parent and place pairs; a missing part matches a missing part."""
-    texts = raw.select(raw_name, "locations").distinct()
-    parts = texts.select(
-        raw_name, "locations", F.explode(location_parts(F.col("locations"))).alias("_part")
-    )
-    parsed = parts.select(
-        raw_name,
-        *[v.alias(k) for k, v in place_of(F.col("locations"), F.col("_part")).items()],
-    )
+    parsed = _places(raw.select(raw_name, "locations").distinct(), split)
     used = parsed.where(F.col("city") != "").distinct()
     placed = lookup(
         used, locations, [(c, c) for c in PLACE], {"id": "location_id"}, null_safe=True

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from jobgrain.functions.listtext import location_parts, name_parts, place_of, value_of_key
+from jobgrain.functions.listtext import location_parts, name_parts, place_of, places_in, value_of_key
 from jobgrain.plans import legacy
 
 
@@ -40,3 +40,30 @@ def test_parents_of_one_name_share_its_list(spark):
     names = legacy.names(raw, "categories")
     got = legacy.name_bridge(raw, "categories", "job_name", jobs, names, "job_id", "category_id")
     assert got.count() == 4
+
+
+def test_several_places_of_one_text(spark):
+    texts = {
+        "[{'city': 'Austin', 'state': 'US-TX', 'country': 'US'}, {'city': 'Paris', 'state': None}]":
+            [("Austin", "US-TX", "US"), ("Paris", None, None)],
+        '[{"city": "Washington, D.C.", "country_code": "US"}, {"state": "x"}, {"city": "a}b{c"}]':
+            [("Washington, D.C.", None, "US"), ("a}b{c", None, None)],
+        "{city: A, subdivision_code: B}, {CITY: C, country: D}": [("A", "B", None), ("C", None, "D")],
+        "{'city': \"Coeur d'Alene\", 'meta': {'zip': 1}, 'country': 'US'}": [("Coeur d'Alene", None, "US")],
+        "city: Oslo, country_code: NO": [("Oslo", None, "NO")],
+        "{city: open": [("open", None, None)],
+        "remote": [], "": [], "[]": [], "{city: None}, {velocity: 3}": [], None: None,
+    }
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, x string")
+    rows = df.select("k", places_in(F.col("x")).alias("p")).orderBy("k").collect()
+    got = [None if r.p is None else [tuple(x) for x in r.p] for r in rows]
+    assert got[:-1] == list(texts.values())[:-1] and not got[-1]
+
+
+def test_split_places_are_linked_one_by_one(spark):
+    raw = spark.createDataFrame([("dev", "{city: A}, {city: B, state: S}")], "job_name string, locations string")
+    jobs = spark.createDataFrame([(1, "dev"), (2, "dev")], "id bigint, name string")
+    whole, split = (legacy.locations([raw], split=x) for x in (False, True))
+    assert sorted(r.city for r in split.collect()) == ["A", "B"] and whole.count() == 1
+    pairs = legacy.location_bridge(raw, "job_name", jobs, split, "job_id", split=True)
+    assert pairs.count() == 4

@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from jobgrain.functions.listtext import name_parts, place_of
+from jobgrain.functions.listtext import (
+    ENTRY,
+    key_pattern,
+    location_parts,
+    name_parts,
+    place_of,
+    places_in,
+)
 from jobgrain.operators.joins import lookup
 from jobgrain.plans import legacy
 from jobgrain.session import shared_dir
@@ -66,9 +73,13 @@ def _raw(spark, sf, name):
         "jobs": ("orders customer", JOB),
         "salaries": ("lineitem supplier", SALARY),
     }
-    needed, text = parts[name]
+    return _text(spark, sf, *parts[name])
+
+
+def _text(spark, sf, needed, text):
+    """The rows of a statement over given tables."""
     frames = {t: table(spark, sf, t) for t in needed.split()}
-    text = text.replace("chr(10)", "char(10)").replace("{", "{{").replace("}", "}}")
+    text = text.replace("chr(", "char(").replace("{", "{{").replace("}", "}}")
     for t in frames:  # name the tables inside this one statement
         text = text.replace(f"FROM {t}", f"FROM {{{t}}}").replace(f"JOIN {t}", f"JOIN {{{t}}}")
     return spark.sql(text, **frames)
@@ -172,6 +183,53 @@ def text_names(spark, sf):
     return _raw(spark, sf, "jobs").select("job_id", F.explode(name_parts(F.col("categories"))).alias("name"))
 
 
+# Customers' places as texts with none, one or several, bare and quoted.
+SEVERAL = """SELECT c_custkey, translate(CASE c_custkey % 7
+    WHEN 0 THEN '[{~city~: ~' || n_name || '~, ~state~: ~S' || (c_custkey % 5) || '~, ~country~: ~' || r_name
+      || '~}, {~city~: ~City ' || (c_custkey % 9) || ', North~, ~state~: None, ~country_code~: ~C1~}]'
+    WHEN 1 THEN '{city: ' || n_name || ', subdivision_code: S1}, {CITY: B' || (c_custkey % 4) || ', country: ' || r_name || '}'
+    WHEN 2 THEN 'city: ' || n_name || ', country_code: C' || (c_custkey % 3)
+    WHEN 3 THEN '[{"city": "a}b{' || n_name || '", "meta": {"zip": 1}, "country": "X"}, {"state": "only"}]'
+    WHEN 4 THEN NULL WHEN 5 THEN '[]' ELSE n_name END, '~', chr(39)) AS places
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
+
+
+def _value_sql(*keys: str) -> str:
+    found = []
+    for key in keys:
+        pattern = key_pattern(key).replace("'", "''")
+        for group in (1, 2, 3):
+            value = f"trim(regexp_extract(entry, '{pattern}', {group}), ' ')"
+            found.append(f"CASE WHEN {value} NOT IN ('', 'None') THEN {value} END")
+    return f"coalesce({', '.join(found)})"
+
+
+_ENTRY_SQL = ENTRY.replace("'", "''")
+
+
+@query(
+    f"""WITH t AS ({SEVERAL}), e AS (
+      SELECT c_custkey, substr(entry, 2, length(entry) - 2) AS entry
+      FROM (SELECT c_custkey, unnest(regexp_extract_all(places, '{_ENTRY_SQL}')) AS entry FROM t)
+      UNION ALL SELECT c_custkey, translate(places, '[]{{}}', '') FROM t
+      WHERE len(regexp_extract_all(places, '{_ENTRY_SQL}')) = 0)
+    SELECT * FROM (SELECT c_custkey, {_value_sql('city')} AS city,
+      {_value_sql('subdivision_code', 'state')} AS subdivision_code,
+      {_value_sql('country_code', 'country')} AS country_code FROM e) WHERE city IS NOT NULL"""
+)
+def text_places_split(spark, sf):
+    """Each of several places of a text as a row."""
+    places = _text(spark, sf, "customer nation region", SEVERAL)
+    return places.select("c_custkey", F.explode(places_in(F.col("places"))).alias("p")).select("c_custkey", "p.*")
+
+
+@query(f"SELECT c_custkey, translate(places, '[]{{}}', '') AS part FROM ({SEVERAL}) WHERE places IS NOT NULL")
+def text_places_whole(spark, sf):
+    """The older rule: signs go, and the text stays whole."""
+    places = _text(spark, sf, "customer nation region", SEVERAL)
+    return places.select("c_custkey", F.explode(location_parts(F.col("places"))).alias("part"))
+
+
 # --- tables, written once and read back ------------------------------------------------------
 
 _built: dict[tuple, dict] = {}
