@@ -45,8 +45,8 @@ BLOCKS = frozenset(
     "tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-NO_TEXT = frozenset("script style noscript template iframe object svg math canvas noframes".split())
-RAW = frozenset("script style textarea title iframe noframes".split())
+NO_TEXT = frozenset("script style template".split())
+RAW = frozenset("script style textarea title".split())
 CLOSES_P = BLOCKS - frozenset("body button caption head html option optgroup select td th tr tbody thead tfoot".split())
 CLOSES = {
     "li": (("li",), ("ul", "ol", "menu", "dir")),
@@ -61,6 +61,7 @@ CLOSES = {
     "option": (("option",), ("select",)),
 }
 _P_BOUNDS = ("td", "th", "table", "button", "caption", "html")
+_RAW_END = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}
 _HEAD = frozenset("title base link meta style script noscript template head html".split())
 
 # Tags and words of names that go together as one feature each.
@@ -131,7 +132,7 @@ class Page:
     def _read(self, source: str):
         stack, buffer, links = [0], [], 0
         in_link, skip, at = 0, "", 0
-        low_source = None
+        open_at: dict[str, list[int]] = {}  # places in the stack of the open elements of a tag
 
         def flush():
             nonlocal links
@@ -142,17 +143,20 @@ class Page:
                     self.leaves.append((stack[-1], text, min(links, len(text))))
             links = 0
 
+        def cut(k):
+            flush()
+            for node in stack[k:]:
+                open_at[self.tags[node]].pop()
+            del stack[k:]
+
         def close(wanted, bounds):
-            for k in range(len(stack) - 1, 0, -1):
-                tag = self.tags[stack[k]]
-                if tag in wanted:
-                    flush()
-                    del stack[k:]
-                    return
-                if tag in bounds:
-                    return
-
-        depth_skip = 0
+            """Close the innermost open element of the wanted tags, and what is in it,
+            unless one of the bounds is inside of it."""
+            inner = max((open_at[tag][-1] for tag in wanted if open_at.get(tag)), default=0)
+            if inner and all(open_at[tag][-1] < inner for tag in bounds if open_at.get(tag)):
+                cut(inner)
+
+        depth_skip, inside = 0, {}
         for match in iter(lambda: _TAG.search(source, at), None):
             if not skip and match.start() > at:
                 text = source[at : match.start()]
@@ -169,7 +173,15 @@ class Page:
                     depth_skip += -1 if match[1] else 1
                     if not depth_skip:
                         skip = ""
-                continue
+                    continue
+                if tag not in BLOCKS:
+                    continue
+                if not match[1] or inside.get(tag):
+                    inside[tag] = inside.get(tag, 0) + (-1 if match[1] else 1)
+                    continue
+                if not open_at.get(tag):
+                    continue
+                skip = ""  # never closed: the end of a block around it ends it
             if match[1]:
                 if tag == "a":
                     in_link = max(0, in_link - 1)
@@ -190,10 +202,8 @@ class Page:
                 in_link = 1
                 continue
             if tag in RAW:
-                if low_source is None:
-                    low_source = source.lower()
-                end = low_source.find("</" + tag, at)
-                end = len(source) if end < 0 else end
+                end = _RAW_END[tag].search(source, at)
+                end = end.start() if end else len(source)
                 content, at = source[at:end], end
                 if tag in NO_TEXT:
                     stop = source.find(">", at)
@@ -203,13 +213,12 @@ class Page:
                 content = None
                 if tag in NO_TEXT:
                     if not attributes.endswith("/"):
-                        skip, depth_skip = tag, 1
+                        skip, depth_skip, inside = tag, 1, {}
                     continue
             if tag not in BLOCKS:
                 continue
             if self.tags[stack[-1]] == "head" and tag not in _HEAD:
-                flush()
-                stack.pop()
+                cut(len(stack) - 1)
             if tag in CLOSES_P:
                 close(("p",), _P_BOUNDS)
             if tag in CLOSES:
@@ -218,6 +227,7 @@ class Page:
                 continue
             flush()
             self.parents.append(stack[-1])
+            open_at.setdefault(tag, []).append(len(stack))
             stack.append(len(self.tags))
             self.tags.append(tag)
             groups: list[int] = []
