@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobgrain.llm import wordhash
-from jobgrain.llm.shared import written
+from jobgrain.llm.shared import sent, tidied, written
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20  # test text compiled and sent at once
@@ -205,7 +205,7 @@ def _searcher(tables):
         for texts in batches:
             yield search(texts, compiled)
 
-    return F.arrow_udf(run, FOUND).asNondeterministic()
+    return F.arrow_udf(tidied(run), FOUND).asNondeterministic()
 
 
 def _blocks(tests: DataFrame, limit: int) -> Iterator[list[tuple[int, str]]]:
@@ -258,7 +258,7 @@ def find_passages(
     ).filter(F.col("item").isNotNull() & F.col("text").isNotNull())
     for k, block in enumerate(_blocks(tests, block_bytes)):
         compiled = compile_patterns(block, window)
-        tables = spark.sparkContext.broadcast([tuple(vars(p).values()) for p in compiled])
+        tables = sent(spark, [tuple(vars(p).values()) for p in compiled])
         found = _searcher(tables)(F.col(text))
         if k == 0:
             docs = docs.withColumn(into, found)

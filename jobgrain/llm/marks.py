@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobgrain.llm.shared import sent, tidied
+
 MARK_BITS = 1 << 27
 
 
@@ -34,7 +36,7 @@ def bit_table(keys: DataFrame, *columns: str) -> np.ndarray:
 def may_be(table: np.ndarray, *columns: str) -> Column:
     """False for rows that certainly are not among the table's keys. The columns must have
     the types of the keys'."""
-    shared = SparkSession.active().sparkContext.broadcast(table.tobytes())
+    shared = sent(SparkSession.active(), table.tobytes())
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = np.frombuffer(shared.value, dtype=np.uint8)
@@ -42,4 +44,4 @@ def may_be(table: np.ndarray, *columns: str) -> Column:
             mark = marks.to_numpy(zero_copy_only=False)
             yield pa.array((table[mark >> 3] >> (mark & 7).astype(np.uint8)) & 1 == 1)
 
-    return F.arrow_udf(run, "boolean").asNondeterministic()(_mark(*columns))
+    return F.arrow_udf(tidied(run), "boolean").asNondeterministic()(_mark(*columns))

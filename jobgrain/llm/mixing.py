@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobgrain.llm import wordhash
-from jobgrain.llm.shared import written
+from jobgrain.llm.shared import tidied, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5  # of all words
@@ -82,7 +82,7 @@ def word_count(text: Column) -> Column:
         for texts in batches:
             yield _counts(texts)
 
-    return F.arrow_udf(run, "bigint").asNondeterministic()(text)
+    return F.arrow_udf(tidied(run), "bigint").asNondeterministic()(text)
 
 
 def source_targets(

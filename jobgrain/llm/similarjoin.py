@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from jobgrain.llm import wordhash
 from jobgrain.llm.components import components
 from jobgrain.llm.marks import bit_table, may_be
-from jobgrain.llm.shared import written
+from jobgrain.llm.shared import tidied, written
 
 WIDTH = 5  # words of a shingle
 SIMILAR = 0.8
@@ -144,7 +144,7 @@ def _sketcher(width: int, roots: int):
                 names=["set", "size", "sketch", "paths"],
             )
 
-    return F.arrow_udf(run, SKETCHED).asNondeterministic()
+    return F.arrow_udf(tidied(run), SKETCHED).asNondeterministic()
 
 
 def _shingler(width: int):
@@ -162,7 +162,7 @@ def _shingler(width: int):
                 pa.array(ends, pa.int32()), pa.array(flat.view(np.int64), pa.int64())
             )
 
-    return F.arrow_udf(run, "array<bigint>").asNondeterministic()
+    return F.arrow_udf(tidied(run), "array<bigint>").asNondeterministic()
 
 
 # --- buckets -----------------------------------------------------------------------------------
@@ -304,7 +304,7 @@ def candidate_ties(sets: DataFrame) -> DataFrame:
             .select("path", "set", "sketch")
             .repartition("path")
             .sortWithinPartitions("path", "set")
-            .mapInArrow(_bucket_ties, "a binary, b binary")
+            .mapInArrow(tidied(_bucket_ties), "a binary, b binary")
         )
         found.append(written(ties.distinct(), "ties"))
         large = members.filter(F.col("many") > SMALL).select("path", "set", "sketch")
@@ -420,7 +420,7 @@ def exact_links(members: DataFrame, similar: float) -> DataFrame:
     return (
         pairs.repartition(*keys)
         .sortWithinPartitions(*keys, "set")
-        .mapInArrow(_block_links(similar), "set binary, links bigint, name binary, parts int")
+        .mapInArrow(tidied(_block_links(similar)), "set binary, links bigint, name binary, parts int")
     )
 
 
