@@ -5,7 +5,8 @@ toxicity drops the documents scored 0.5 or more; near_duplicates leaves one docu
 each class; decontaminate drops contaminated documents; secrets replaces secrets in the
 text (and n_chars with it); mixing returns how many words of each document the mix takes.
 A stage sees all that its predecessor kept, and all but the last return the columns of
-documents. Columns that are missing or extra pass through; texts may be null.
+documents. As a stage begins, its predecessor is written, so what that one had broadcast is
+released. Columns that are missing or extra pass through; texts may be null.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from jobgrain.llm import decontaminate, mixing, secretscan, similarjoin, toxicity
 from jobgrain.llm.queries import prepared
-from jobgrain.llm.shared import table, written
+from jobgrain.llm.shared import release, table, written
 
 # SQL cannot tell the scores of a trained model or the candidates of a randomized join;
 # the tests hold the stages against brute force instead.
@@ -41,6 +42,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class: the one with the smallest id. Of equal rows one stays."""
+    release()
     found = written(similarjoin.similar_documents(docs), "similar")
     ids = found.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "keeps", "n_copies")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_digest"))
@@ -58,6 +60,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth lies in passages of the benchmark."""
+    release()
     own = _own_name(docs)
     found = decontaminate.find_passages(docs, table(spark, sf_dir, "benchmark"), into=own)
     return found.filter(~decontaminate.contaminated(F.col(own))).select(*docs.columns)
@@ -65,6 +68,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets in the text replaced and n_chars counted anew."""
+    release()
     own = _own_name(docs)
     found = secretscan.find_secrets(docs, into=own)
     clean = F.col(own)["clean"]
@@ -78,6 +82,7 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, size, source_size, target and words taken of each document."""
+    release()
     return mixing.mix(docs)
 
 
