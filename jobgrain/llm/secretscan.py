@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobgrain.llm import wordhash
+from jobgrain.llm.shared import tidied
 
 # Kind, expression, group whose length counts, least length. Matches are
 # taken leftmost and without overlap, and those with a shorter group are dropped after.
@@ -38,12 +39,18 @@ BASE_RULES = [
     ("hex", r"[0-9a-f]{16,}", 0, 16),  # a longest run of [0-9a-f] with 16 or more
 ]
 MORE_RULES = [
-    ("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 0),
+    (  # to the END line, or else over the lines of base64 that follow
+        "private_key",
+        r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+)*-----END [A-Z ]*PRIVATE KEY-----"
+        r"|(?:[\x09-\x0D\x20]*[A-Za-z0-9+/=]{16,})*)",
+        0,
+        0,
+    ),
     ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 0),
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
     ("google", r"AIza[A-Za-z0-9_-]{35}", 0, 0),
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0, 0),
-    ("url_password", r"://[^/\x09-\x0D\x20:@]{1,80}:[^/\x09-\x0D\x20:@]{1,80}@", 0, 0),
+    ("url_password", r"://[^/\x09-\x0D\x20:@]+:[^/\x09-\x0D\x20:@]+@", 0, 0),
 ]
 RULES = BASE_RULES + MORE_RULES
 SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -298,7 +305,7 @@ def _scanner(rules, mark):
                 names=["spans", "clean"],
             )
 
-    return F.arrow_udf(run, f"struct<spans:{SPANS},clean:string>").asNondeterministic()
+    return F.arrow_udf(tidied(run), f"struct<spans:{SPANS},clean:string>").asNondeterministic()
 
 
 def find_secrets(

@@ -56,6 +56,27 @@ def test_more_kinds_and_clean_text(spark):
     assert scan(spark, ["plain"])[0].clean is None
 
 
+def test_private_keys_go_with_their_body(spark):
+    body = "\n".join("MIIEpAIBAAKCAQEA" * 4 for _ in range(3000))
+    head, tail = "-----BEGIN RSA PRIVATE KEY-----\n", "\n-----END RSA PRIVATE KEY-----"
+    texts = [
+        f"a {head}{body}{tail} z", f"a {head}Proc-Type: 4,ENCRYPTED\nDEK-Info: x--y\n\n{body}{tail} z",
+        f"a {head}{body}\nand so on", f"a {head}no key here", f"a {head}{head}{body}{tail} z",
+        "a -----BEGIN " + "VERY " * 30 + "LONG PRIVATE KEY----- z", f"{head}{body}{tail} b {head}{body}{tail}",
+    ]
+    found = scan(spark, texts)
+    clean = [found[k].clean for k in range(len(texts))]
+    assert clean[:2] == ["a [secret] z"] * 2
+    assert clean[2] == "a [secret]\nand so on" and clean[3] == "a [secret]\nno key here"
+    assert clean[4] in ("a [secret]\n[secret] z", "a [secret] z") and clean[5] == "a [secret] z"
+    assert clean[6] == "[secret] b [secret]"
+
+
+def test_long_names_and_passwords_in_addresses(spark):
+    found = scan(spark, ["https://" + "u" * 500 + ":" + "p" * 5000 + "@host/x", "://" * 20_000 + "a:b"])
+    assert found[0].clean == "https[secret]host/x" and found[1].clean is None
+
+
 def test_overlapping_spans_are_replaced_once():
     assert s.redacted("abcdefgh", [(1, 0, 4), (2, 2, 6), (7, 0, 8)], "#") == "a#g#"
 
