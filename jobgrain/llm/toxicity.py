@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobgrain.llm import wordhash
-from jobgrain.llm.shared import written
+from jobgrain.llm.shared import sent, tidy, written
 
 FOLDS = 5
 TRAIN_ROWS = 30_000
@@ -67,16 +67,37 @@ class CharModel:
     """Log probabilities of the next byte after up to three others, each order mixed with
     the one below in proportion to how many kinds of successors its context has."""
 
-    def __init__(self, grams: tuple[np.ndarray, np.ndarray]):
-        codes, n = grams  # sorted runs of four bytes as numbers, and how often each is there
-        self.orders = []
+    def __init__(self, orders: list[tuple[np.ndarray, ...]]):
+        self.orders = orders
+        self.log = lru_cache(1 << 16)(self._log)
+
+    @staticmethod
+    def counted(codes: np.ndarray, n: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+        """What a model looks up, from sorted runs of four bytes as numbers and how often
+        each is there. Plain arrays, made once and sent to the tasks."""
+        orders = []
         for k in range(4):  # k bytes of context
             run, at = np.unique(codes & ((1 << 8 * (k + 1)) - 1), return_inverse=True)
             times = np.bincount(at, weights=n, minlength=len(run))
             context, at, kinds = np.unique(run >> 8, return_inverse=True, return_counts=True)
             total = np.bincount(at, weights=times, minlength=len(context))
-            self.orders.append((run, times, context, total, kinds))
-        self.log = lru_cache(1 << 16)(self._log)
+            orders.append((run, times, context, total, kinds))
+        return orders
+
+    def logs(self, codes: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Log probabilities of the last byte of each run after the `size` bytes (up to
+        three) before it."""
+        p = np.full(len(codes), 1 / 256)
+        for k, (runs, times, contexts, totals, kinds) in enumerate(self.orders):
+            if not len(runs):
+                break
+            run = codes & ((1 << 8 * (k + 1)) - 1)
+            at = np.minimum(np.searchsorted(contexts, run >> 8), len(contexts) - 1)
+            known = (contexts[at] == run >> 8) & (size >= k)
+            place = np.minimum(np.searchsorted(runs, run), len(runs) - 1)
+            n = np.where(runs[place] == run, times[place], 0)
+            p = np.where(known, (n + kinds[at] * p) / (totals[at] + kinds[at]), p)
+        return np.log(p)
 
     def _p(self, context: bytes, byte: bytes) -> float:
         lower = self._p(context[1:], byte) if context else 1 / 256
@@ -117,7 +138,12 @@ def lattice(token: str) -> list[list[tuple[bytes, float]]]:
 
 
 def restore(token: str, model: CharModel, width: int = 64) -> bytes:
-    """The best path through the token's lattice; words are parted by a zero byte."""
+    """The best path through the token's lattice; words are parted by a zero byte.
+
+    A state is the last three bytes, which is all that the model looks at, so with all
+    states kept the path is the best one. There are more than `width` of them only where
+    many characters in a row may stand for nothing or several letters; then the best
+    `width` go on."""
     states = {b"\0": (0.0, b"")}  # by the last bytes written: score, text
     for options in lattice(token):
         following: dict[bytes, tuple[float, bytes]] = {}
@@ -131,7 +157,9 @@ def restore(token: str, model: CharModel, width: int = 64) -> bytes:
                 known = following.get(last)
                 if known is None or total > known[0]:
                     following[last] = (total, text + piece)
-        states = dict(sorted(following.items(), key=lambda s: -s[1][0])[:width])
+        if len(following) > width:
+            following = dict(sorted(following.items(), key=lambda s: -s[1][0])[:width])
+        states = following
     return max(
         (score + model.log(context, b"\0"), text) for context, (score, text) in states.items()
     )[1]
@@ -150,6 +178,8 @@ _SAME = re.compile(r"([^\w\s])\1\1+$")
 _SPLIT = re.compile(r"[^\W_][\s%s]+[^\W_]" % re.escape(GAPS))
 _GAP = np.zeros(256, dtype=bool)
 _GAP[[*map(ord, GAPS), *range(0x09, 0x0E)]] = True
+_SIGN_GAP = np.zeros(256, dtype=bool)
+_SIGN_GAP[[*map(ord, GAPS)]] = True
 
 
 def _readings() -> list[np.ndarray]:
@@ -196,14 +226,121 @@ def _spelled(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
     ]
 
 
-def _split(data: np.ndarray, offsets: np.ndarray, lookup: Lookup) -> list[tuple[int, int]]:
+# Bytes of characters that only stand for themselves, in lower case: ASCII letters and, after
+# 0xC3, the lower-case letters from U+00DF on.
+_PLAIN_SECOND = np.zeros(256, dtype=bool)
+_PLAIN_SECOND[[*range(0x9F, 0xB7), *range(0xB8, 0xC0)]] = True
+
+
+def _plain_bytes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which bytes are of letters that only stand for themselves, and which repeat the
+    letter before them. Of those beyond ASCII a repeated one is left out: its bytes are not
+    taken as one by the features."""
+    low = wordhash.WORD_BYTES[data]
+    plain = (low >= 0x61) & (low <= 0x7A)
+    again = np.zeros(len(low), dtype=bool)
+    again[1:] = (low[1:] == low[:-1]) & plain[1:]
+    at = np.flatnonzero(data == 0xC3)
+    at = at[at + 1 < len(data)]
+    at = at[_PLAIN_SECOND[data[at + 1]]]
+    plain[at] = plain[at + 1] = True
+    back = at[at >= 2]
+    back = back[(data[back - 2] == 0xC3) & (data[back - 1] == data[back + 1])]
+    plain[back] = plain[back + 1] = False
+    return plain, again
+
+
+class _Plain:
+    """Decides in arrays what the lattice of plain pieces comes to. Letters stand for
+    themselves; a repeated one for one or two, which is the same to the features. If no letter
+    is repeated near a gap, and the pieces between two gaps have three bytes or more, each
+    gap is a matter of its own: nothing or a blank."""
+
+    def __init__(self, data: np.ndarray, model: CharModel):
+        self.model = model
+        self.low = wordhash.WORD_BYTES[data].astype(np.int64)
+        plain, again = _plain_bytes(data)
+        self.plain = np.concatenate(([0], np.cumsum(plain)))
+        self.again = np.concatenate(([0], np.cumsum(again)))
+        self.blanks = np.concatenate(([0], np.cumsum(_BLANK[data])))
+        # a gap sign costs 2.3 more as a blank than as nothing, other white space does not
+        self.cheap = np.concatenate(([0], np.cumsum(_GAP[data] & ~_SIGN_GAP[data])))
+
+    def decided(self, start: np.ndarray, end: np.ndarray, first: np.ndarray, more: int) -> np.ndarray:
+        """Of runs of 1 + `more` pieces, from the pieces `first` on: 0 for those surely
+        restored to what they are, 1 for those surely joined to one word, else -1."""
+        fits, alike, long = np.ones(len(first), bool), np.ones(len(first), bool), np.zeros(len(first), bool)
+        for k in range(more + 1):
+            s, e = start[first + k], end[first + k]
+            fits &= self.plain[e] - self.plain[s] == e - s
+            alike &= self.again[e] == self.again[np.minimum(s + 1, e)]
+            long |= e - s >= 3  # so it is not spelled out
+            if 0 < k < more:
+                fits &= e - s >= 3
+            if k < more:
+                t, f = start[first + k + 1], end[first + k + 1]
+                fits &= self.again[e] == self.again[np.minimum(np.maximum(e - 2, s + 1), e)]
+                fits &= self.again[np.minimum(t + 3, f)] == self.again[np.minimum(t + 1, f)]
+                fits &= self.blanks[t] > self.blanks[e]  # so it is no token by itself
+        out = np.full(len(first), -1)
+        at = np.flatnonzero(fits & long)
+        least, most = np.full(len(at), np.inf), np.full(len(at), -np.inf)
+        for k in range(more):
+            one = first[at] + k
+            gain = self.joining(start[one], end[one], start[one + 1], end[one + 1])
+            least, most = np.minimum(least, gain), np.maximum(most, gain)
+        out[at[least > 1e-6]] = 1
+        out[at[(most < -1e-6) & alike[at]]] = 0
+        return out
+
+    def joining(self, start: np.ndarray, gap: np.ndarray, after: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """How much better plain pieces [start, gap) and [after, end), with gap bytes between,
+        are when joined than with a blank. The two paths differ in the gap and in the three
+        bytes after it only, so the rest of the text need not be looked at."""
+        low, logs = self.low, self.model.logs
+        before = np.zeros(len(gap), dtype=np.int64)  # up to three bytes before the gap
+        size = np.minimum(gap - start + 1, 3)
+        for k in (3, 2, 1):
+            before = before << 8 | np.where(gap - k >= start, low[np.maximum(gap - k, 0)], 0)
+        joined, apart = before, before << 8
+        joined_size, apart_size = size, np.minimum(size + 1, 3)
+        gain = np.where(self.cheap[after] > self.cheap[gap], 0.0, 2.3) - logs(apart & 0xFFFFFFFF, size)
+        for k in range(3):
+            inside = after + k <= end  # the byte at the end is the blank after the word
+            byte = np.where(after + k < end, low[np.minimum(after + k, len(low) - 1)], 0)
+            joined, apart = (joined << 8 | byte) & 0xFFFFFFFF, (apart << 8 | byte) & 0xFFFFFFFF
+            gain += np.where(inside, logs(joined, joined_size) - logs(apart, apart_size), 0)
+            joined_size, apart_size = np.minimum(joined_size + 1, 3), np.minimum(apart_size + 1, 3)
+        return gain
+
+
+class _Spans:
+    """Hashes of many spans of one array, as `wordhash.spans_hash` gives them."""
+
+    def __init__(self, values: np.ndarray):
+        up, self.down = wordhash._powers.to(len(values) + 1)
+        self.sums = np.zeros(len(values) + 1, dtype=np.uint64)
+        np.cumsum(values * up[: len(values)], out=self.sums[1:])
+
+    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        size = (end - start).astype(np.uint64)
+        return wordhash.mix((self.sums[end] - self.sums[start]) * self.down[start] + size)
+
+
+def _split(
+    data: np.ndarray, offsets: np.ndarray, lookup: Lookup, model: CharModel | None = None
+) -> tuple[list[tuple[int, int]], np.ndarray]:
     """Spans of two to PIECES pieces with nothing but gaps between, which joined have a
-    feature of the lookup that fewer of the pieces do not have."""
-    spans = set()
+    feature of the lookup that fewer of the pieces do not have. With a model, spans of plain
+    pieces that are surely joined to one word come apart from the others, as an array, and
+    those surely left as they are do not come."""
+    spans, joined = set(), [np.empty((0, 2), dtype=np.int64)]
+    plain = _Plain(data, model) if model else None
     gaps = np.concatenate(([0], np.cumsum(_GAP[data])))
     new = np.zeros(len(data) + 1, dtype=bool)
     new[offsets] = True
-    for reading in _READINGS:
+    signs = np.concatenate(([0], np.cumsum(_SYMBOL[data])))
+    for number, reading in enumerate(_READINGS):
         values = reading[data]
         inside = np.zeros(len(values) + 2, dtype=bool)
         inside[1:-1] = values != 0
@@ -220,30 +357,43 @@ def _split(data: np.ndarray, offsets: np.ndarray, lookup: Lookup) -> list[tuple[
         moved = np.concatenate(([0], np.cumsum(keep)))
         # a first letter taken as one with the letter before it is that letter
         first, stop = moved[letters[start] + 1] - 1, moved[letters[end]]
-        values = values[keep]
-        at = np.arange(len(start))
+        hashes = _Spans(values[keep])
+        runs = np.arange(len(start))
         for more in range(1, PIECES):
-            at = at[at + more < len(start)]
-            at = at[linked[at + more - 1]]
+            runs = runs[runs + more < len(start)]
+            runs = at = runs[linked[runs + more - 1]]
+            if number:  # without signs inside or beside it, a span reads as before
+                near = signs[np.minimum(end[at + more] + 1, len(data))]
+                at = at[near > signs[np.maximum(start[at] - 1, 0)]]
             low, high, before = first[at], stop[at + more], stop[at + more - 1]
-            has = lookup.has(wordhash.spans_hash(values, low, high))
+            has = lookup.has(hashes.hash(low, high))
             for k in BEGINNINGS:
                 part = np.flatnonzero((high - low > k) & (before - low <= k))
-                hashes = wordhash.spans_hash(values, low[part], low[part] + k) + np.uint64(k)
-                has[part] |= lookup.has(hashes)
-            spans.update(zip(start[at[has]].tolist(), end[at[has] + more].tolist()))
-    return sorted(spans)
+                has[part] |= lookup.has(hashes.hash(low[part], low[part] + k) + np.uint64(k))
+            some = at[has]
+            if plain:
+                what = plain.decided(start, end, some, more)
+                sure = some[what == 1]
+                joined.append(np.stack((start[sure], end[sure + more]), axis=1))
+                some = some[what == -1]
+            spans.update(zip(start[some].tolist(), end[some + more].tolist()))
+    return sorted(spans), np.unique(np.concatenate(joined), axis=0)
 
 
 def hidden_tokens(
-    words: wordhash.Words, offsets: np.ndarray, lookup: Lookup | None = None
-) -> list[tuple[int, str]]:
+    words: wordhash.Words,
+    offsets: np.ndarray,
+    lookup: Lookup | None = None,
+    model: CharModel | None = None,
+) -> tuple[list[tuple[int, str]], np.ndarray]:
     """(number of the text, lower-cased token) for tokens that may hide a word; those split
-    by blanks into longer pieces only where the lookup has them joined."""
+    by blanks into longer pieces only where the lookup has them joined. With a model, spans
+    that are surely one word come by themselves."""
     data = words.data
     n = len(data)
+    joined = np.empty((0, 2), dtype=np.int64)
     if not n:
-        return []
+        return [], joined
     letter, symbol = _LETTER[data], _SYMBOL[data]
     low = wordhash.WORD_BYTES[data]
     odd = np.zeros(n, dtype=bool)
@@ -267,23 +417,25 @@ def hidden_tokens(
     spans = [(int(starts[k]), int(ends[k])) for k in token.tolist()]
     spans += _spelled(data, offsets)
     if lookup is not None and len(lookup.chosen):
-        spans += _split(data, offsets, lookup)
+        found, joined = _split(data, offsets, lookup, model)
+        spans += found
     spans = sorted(set(spans))
     found = []
     texts = np.searchsorted(offsets, [s for s, _ in spans], side="right") - 1 if spans else []
     seen = set()  # spans that differ in what is trimmed only
+    sure = set(map(tuple, joined.tolist()))
     for (start, end), text in zip(spans, texts):
         value = data[start:end].tobytes().decode("utf-8", "replace").lower()
         value = _SAME.sub("", value.rstrip(_TRIM)).rstrip(_TRIM + "!")
         start += len(value) - len(value := value.lstrip(_TRIM + "(![{<"))
-        if (start, value) in seen:
+        if (start, value) in seen or (sure and (start, start + len(value.encode())) in sure):
             continue
         seen.add((start, value))
         if _HIDES.search(value) and (
             any(c in LOOKALIKES for c in value) or re.search(r"(\w)\1\1", value) or _SPLIT.search(value)
         ):
             found.append((int(text), value))
-    return found
+    return found, joined
 
 
 # --- features --------------------------------------------------------------------------------
@@ -307,6 +459,22 @@ def _word_features(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> li
     return out
 
 
+def _joined_features(data: np.ndarray, offsets: np.ndarray, spans: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(numbers of texts, feature hashes) of spans, each read as one word."""
+    size = spans[:, 1] - spans[:, 0]
+    ends = np.cumsum(size + 1)
+    of = np.repeat(np.arange(len(spans)), size + 1)
+    inner = np.arange(ends[-1]) - np.repeat(ends - size - 1, size + 1)
+    last = inner == size[of]
+    values = wordhash.WORD_BYTES[data[np.minimum(spans[of, 0] + inner, len(data) - 1)]]
+    values = np.where(last, 0, values).astype(np.uint8)
+    keep = (values != 0) | last
+    values, last = values[keep], np.flatnonzero(last[keep])
+    start = np.concatenate(([0], last[:-1] + 1))
+    text = np.searchsorted(offsets, spans[:, 0], side="right") - 1
+    return [(text, hashes) for hashes in _word_features(values, start, last)]
+
+
 class Restorer:
     """Features of texts after restoring; remembers what it has restored."""
 
@@ -338,7 +506,9 @@ class Restorer:
                     )
                 ]
                 if self.model is not None:
-                    hidden = hidden_tokens(words, part, self.lookup)
+                    hidden, joined = hidden_tokens(words, part, self.lookup, self.model)
+                    if len(joined):
+                        found += _joined_features(piece, part, joined)
                     hidden = [(t, w) for t, token in hidden for w in self.words(token)]
                     if hidden:
                         line = b"\0".join(w for _, w in hidden) + b"\0"
@@ -522,7 +692,7 @@ def train(
     label: str = "toxic",
     rows: int = TRAIN_ROWS,
 ):
-    """(counts of four-byte runs, sorted hashes of the chosen features, their weights by
+    """(what the character model looks up, sorted hashes of the chosen features, their weights by
     number of times, the constant)."""
     spark = docs.sparkSession
     known = labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("toxic"))
@@ -544,8 +714,8 @@ def train(
     grams = grams.groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     codes, n = (grams.column(k).to_numpy() for k in ("gram", "n"))
     order = np.argsort(codes)
-    grams = codes[order], n[order]
-    shared = spark.sparkContext.broadcast(grams)
+    orders = CharModel.counted(codes[order], n[order])
+    shared = spark.sparkContext.broadcast(orders)
     counts = sample.mapInArrow(
         _feature_counter(shared), "feature long, level int, bad long, good long"
     )
@@ -553,7 +723,8 @@ def train(
     totals = sample.agg(F.sum("toxic"), F.count("*")).first()
     bad, good = int(totals[0] or 0), int(totals[1]) - int(totals[0] or 0)
     if not bad or not good:
-        return grams, np.empty(0, dtype=np.uint64), np.zeros((0, LEVELS + 1)), -30.0
+        shared.destroy()
+        return orders, np.empty(0, dtype=np.uint64), np.zeros((0, LEVELS + 1)), -30.0
     p, r = (F.col("bad") + 0.5) / (bad + 1), (F.col("good") + 0.5) / (good + 1)
     ratio = F.col("bad") * F.log(p / r) + F.col("good") * F.log(r / p)
     best = (
@@ -569,6 +740,8 @@ def train(
     shared_chosen = spark.sparkContext.broadcast(chosen)
     present = sample.mapInArrow(_present(shared, shared_chosen), "toxic int, features array<int>")
     present = present.toArrow().combine_chunks()
+    shared.destroy()
+    shared_chosen.destroy()
     toxic = present.column("toxic").to_numpy().astype(float)
     lists = present.column("features").combine_chunks()
     sizes = np.diff(lists.offsets.to_numpy())
@@ -582,17 +755,17 @@ def train(
     # by number of times: none, once, ...; each level counts besides those below it
     table = np.zeros((len(chosen), LEVELS + 1))
     table[:, 1:] = weights.reshape(-1, LEVELS).cumsum(axis=1)
-    return grams, chosen, table, float(fitted[-1])
+    return orders, chosen, table, float(fitted[-1])
 
 
 def score(docs: DataFrame, model, text: str = "text", into: str = "score") -> DataFrame:
     """Add a score in 0..1 to every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = sent(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        grams, chosen, table, constant = shared.value
+        orders, chosen, table, constant = shared.value
         lookup = Lookup(chosen)
-        restorer = Restorer(CharModel(grams), lookup)
+        restorer = Restorer(CharModel(orders), lookup)
         for texts in batches:
             out = np.full(len(texts), constant)
             for low, high, found in restorer.features(texts) if len(chosen) else ():
@@ -601,5 +774,7 @@ def score(docs: DataFrame, model, text: str = "text", into: str = "score") -> Da
                     text, weights=table[number, times], minlength=high - low
                 )
             yield pa.array(1 / (1 + np.exp(-np.clip(out, -30, 30))))
+        del restorer, lookup
+        tidy()
 
     return docs.withColumn(into, F.arrow_udf(run, "double").asNondeterministic()(F.col(text)))

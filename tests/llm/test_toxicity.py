@@ -1,3 +1,9 @@
+import itertools
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from jobgrain.llm import queries, toxicity as t
@@ -50,10 +56,93 @@ def test_hidden_tokens_are_found_in_their_texts():
 
     texts = ["a 1d10t!!", "word$$$ plain", "x l o s e r y", "sooo", "10.5 2024 f0o", "a a a a a a", "S.C.U.M."]
     data, offsets = wordhash.text_bytes(pa.array(texts))
-    found = t.hidden_tokens(wordhash.words_of(data, offsets), offsets)
+    found, _ = t.hidden_tokens(wordhash.words_of(data, offsets), offsets)
     assert sorted(found) == [(0, "1d10t"), (2, "x l o s e r y"), (3, "sooo"), (4, "f0o"), (6, "s.c.u.m")]
 
 
+@pytest.fixture(scope="module")
+def small_model():
+    """Counts of the runs of four bytes of a few words, and of some beyond ASCII."""
+    text = ["the idiot and the loser are at the other bar", "moron scum trash", "élève naïf été où là", "a b c"] * 7
+    batch = pa.RecordBatch.from_arrays([pa.array(text)], names=["text"])
+    counts = Counter()
+    for found in t._gram_counter(iter([batch])):
+        counts.update(dict(zip(*(c.to_pylist() for c in found.columns))))
+    codes = np.array(sorted(counts))
+    return t.CharModel(t.CharModel.counted(codes, np.array([counts[c] for c in codes.tolist()])))
+
+
+def path_score(model, choice):
+    total, context, text = 0.0, b"\0", b""
+    for piece, weight in choice:
+        total += weight
+        for k in range(len(piece)):
+            total += model.log(context, piece[k : k + 1])
+            context = (context + piece[k : k + 1])[-3:]
+        text += piece
+    return total + model.log(context, b"\0"), text
+
+
+def test_restored_is_the_best_of_all_paths(small_model):
+    """Every path of the lattice, for all tokens of up to four signs and longer drawn ones."""
+    signs = "at 1$-!éo"
+    draw = random.Random(3)
+    tokens = ["".join(x) for n in (1, 2, 3, 4) for x in itertools.product(signs, repeat=n)]
+    tokens += ["".join(draw.choices("theidolsrmn013@$!. -éè", k=draw.randint(5, 9))) for _ in range(300)]
+    for token in tokens:
+        best = max(path_score(small_model, c)[0] for c in itertools.product(*t.lattice(token)))
+        got = t.restore(token, small_model)
+        again = max(s for s, text in (path_score(small_model, c) for c in itertools.product(*t.lattice(token))) if text == got)
+        assert again > best - 1e-9, token
+
+
+def test_probabilities_in_arrays_equal_single_ones(small_model):
+    draw = random.Random(5)
+    runs = ["".join(draw.choices("theidolr\0 é", k=3)).encode()[:4] for _ in range(300)]
+    for size in range(4):
+        parts = [r[-size - 1 :] for r in runs if len(r) > size]
+        codes = np.array([int.from_bytes(p, "big") for p in parts])
+        got = small_model.logs(codes, np.full(len(parts), size))
+        assert np.allclose(got, [small_model.log(p[:-1], p[-1:]) for p in parts])
+
+
+def test_what_is_decided_in_arrays_changes_no_feature(small_model):
+    """The same features, as often, as with every split token on its lattice."""
+    draw = random.Random(11)
+    parts = ["id", "iot", "lo", "ser", "the", "mo", "ron", "sc", "um", "a", "tr", "ash", "baar", "lll", "é", "élè", "ve", "éé", "na",
+             "1d", "0t", "x!", "$c", "no", "on", "oo", "Id", "IOT", "日", "s"]
+    gaps = [" ", " ", " ", "  ", "-", ", ", ". ", "\n", " - ", "! ", "'", ""]
+    texts = ["".join(draw.choice(parts) + draw.choice(gaps) for _ in range(draw.randint(1, 40))) for _ in range(250)]
+    words = ["idiot", "loser", "moron", "scum", "trash", "theno", "baridiot", "élève", "naon"]
+    line = np.frombuffer("\0".join(words).encode() + b"\0", dtype=np.uint8)
+    ends = np.flatnonzero(line == 0)
+    chosen = np.unique(np.concatenate(t._word_features(line, np.concatenate(([0], ends[:-1] + 1)), ends)))
+    lookup = t.Lookup(chosen[chosen != 0])
+
+    def features(restorer):
+        out = Counter()
+        for low, _, found in restorer.features(pa.array(texts)):
+            for text, hashes in found:
+                out.update((low + int(a), int(b)) for a, b in zip(text, hashes) if b)
+        return out
+
+    class Slow(t.Restorer):
+        def words(self, token):
+            self.asked = getattr(self, "asked", 0) + 1
+            return super().words(token)
+
+    fast = Slow(small_model, lookup)
+    slow = Slow(small_model, lookup)
+    got = features(fast)
+    plain, t._Plain.decided = t._Plain.decided, lambda self, start, end, first, more: np.full(len(first), -1)
+    try:
+        want = features(slow)
+    finally:
+        t._Plain.decided = plain
+    assert got == want and sum(want.values()) > 1000
+    assert fast.asked < slow.asked
+
+
 def test_without_labels_scores_are_zero(spark):
     docs = docs_of(spark, [(1, "a b"), (None, None)])
     labels = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
@@ -112,7 +201,7 @@ def test_three_characters_of_any_bytes_are_found():
     from jobgrain.llm import wordhash
 
     data, offsets = wordhash.text_bytes(pa.array(["xx s ü ß yy", "a b", "k", "y z 1"]))
-    found = t.hidden_tokens(wordhash.words_of(data, offsets), offsets)
+    found, _ = t.hidden_tokens(wordhash.words_of(data, offsets), offsets)
     assert found == [(0, "s ü ß"), (3, "y z 1")]
 
 
