@@ -44,13 +44,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobgrain.llm import wordhash
-from jobgrain.llm.shared import written
+from jobgrain.llm.shared import sent, tidied, written
 
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
-GROUP = 1 << 21  # bytes of text handled together
+GROUP = 1 << 19  # bytes of text handled together
 WORK = 1 << 16  # ends in a piece of the merging
-STRETCHES = 200_000  # distinct stretches whose tokens a task remembers
+STRETCHES = 60_000  # distinct stretches whose tokens a task remembers
 ALIGNED = (
     "struct<n_a:bigint,n_b:bigint,n_groups:bigint,n_links:bigint,groups:string,"
     "groups_sha256:string,pairs:array<int>>"
@@ -382,7 +382,7 @@ def align_tokens(
     encoder = Encoder(a_vocabulary, b_model)
     possible = Pairs(encoder.a_pieces, encoder.b_pieces)
     parts = context.broadcast((a_vocabulary, b_model, possible.codes))
-    aligned = F.arrow_udf(_align(parts, with_groups), ALIGNED).asNondeterministic()
+    aligned = F.arrow_udf(tidied(_align(parts, with_groups)), ALIGNED).asNondeterministic()
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     found = written(docs.select(row, aligned(F.col(text)).alias("aligned")), "aligned")
     parts.destroy()
@@ -392,7 +392,7 @@ def align_tokens(
     counts = counts.toArrow()  # at most a row for each possible pair
     total = np.zeros(n, dtype=np.int64)
     total[counts.column("pair").to_numpy()] = counts.column("n").to_numpy()
-    shared = context.broadcast((total, best_of(possible.codes, total, possible.factor)))
+    shared = sent(docs.sparkSession, (total, best_of(possible.codes, total, possible.factor)))
 
     def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         total, best = shared.value
