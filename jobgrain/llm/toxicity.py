@@ -144,15 +144,25 @@ def restore(token: str, model: CharModel, width: int = 64) -> bytes:
     states kept the path is the best one. There are more than `width` of them only where
     many characters in a row may stand for nothing or several letters; then the best
     `width` go on."""
+    log = model.log
     states = {b"\0": (0.0, b"")}  # by the last bytes written: score, text
     for options in lattice(token):
         following: dict[bytes, tuple[float, bytes]] = {}
+        if len(options) == 1 and len(options[0][0]) == 1:
+            piece, weight = options[0]
+            for context, (score, text) in states.items():
+                total, last = score + weight + log(context, piece), (context + piece)[-3:]
+                known = following.get(last)
+                if known is None or total > known[0]:
+                    following[last] = (total, text + piece)
+            states = following
+            continue
         for context, (score, text) in states.items():
             for piece, weight in options:
                 total, last = score + weight, context
                 for k in range(len(piece)):
                     byte = piece[k : k + 1]
-                    total += model.log(last, byte)
+                    total += log(last, byte)
                     last = (last + byte)[-3:]
                 known = following.get(last)
                 if known is None or total > known[0]:
@@ -252,62 +262,90 @@ def _plain_bytes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 class _Plain:
     """Decides in arrays what the lattice of plain pieces comes to. Letters stand for
-    themselves; a repeated one for one or two, which is the same to the features. If no letter
-    is repeated near a gap, and the pieces between two gaps have three bytes or more, each
-    gap is a matter of its own: nothing or a blank."""
+    themselves, a repeated one for one or two, which is the same to the features of a joined
+    word. If the pieces between two gaps have three bytes or more, each gap is a matter of its
+    own, nothing or a blank, and so it is with either choice for a repeated letter near it."""
 
     def __init__(self, data: np.ndarray, model: CharModel):
         self.model = model
-        self.low = wordhash.WORD_BYTES[data].astype(np.int64)
-        plain, again = _plain_bytes(data)
+        # four more bytes, so that what lies after a piece can be looked at
+        self.low = np.concatenate((wordhash.WORD_BYTES[data], np.zeros(5, np.uint8))).astype(np.int64)
+        plain, self.again = _plain_bytes(data)
+        self.again = np.concatenate((self.again, np.zeros(5, dtype=bool)))
         self.plain = np.concatenate(([0], np.cumsum(plain)))
-        self.again = np.concatenate(([0], np.cumsum(again)))
+        self.repeats = np.concatenate(([0], np.cumsum(self.again)))
         self.blanks = np.concatenate(([0], np.cumsum(_BLANK[data])))
         # a gap sign costs 2.3 more as a blank than as nothing, other white space does not
         self.cheap = np.concatenate(([0], np.cumsum(_GAP[data] & ~_SIGN_GAP[data])))
 
-    def decided(self, start: np.ndarray, end: np.ndarray, first: np.ndarray, more: int) -> np.ndarray:
+    def decided(
+        self, start: np.ndarray, end: np.ndarray, first: np.ndarray, more: int, counts: np.ndarray
+    ) -> np.ndarray:
         """Of runs of 1 + `more` pieces, from the pieces `first` on: 0 for those surely
-        restored to what they are, 1 for those surely joined to one word, else -1."""
+        left apart, with repeated letters at most in pieces that do not count (have no
+        chosen feature); 1 for those surely joined to one word; else -1."""
         fits, alike, long = np.ones(len(first), bool), np.ones(len(first), bool), np.zeros(len(first), bool)
         for k in range(more + 1):
             s, e = start[first + k], end[first + k]
+            repeats = self.repeats[e] - self.repeats[np.minimum(s + 1, e)]
             fits &= self.plain[e] - self.plain[s] == e - s
-            alike &= self.again[e] == self.again[np.minimum(s + 1, e)]
+            alike &= (repeats == 0) | ~counts[first + k]
             long |= e - s >= 3  # so it is not spelled out
             if 0 < k < more:
-                fits &= e - s >= 3
+                fits &= e - s - repeats >= 3
             if k < more:
-                t, f = start[first + k + 1], end[first + k + 1]
-                fits &= self.again[e] == self.again[np.minimum(np.maximum(e - 2, s + 1), e)]
-                fits &= self.again[np.minimum(t + 3, f)] == self.again[np.minimum(t + 1, f)]
-                fits &= self.blanks[t] > self.blanks[e]  # so it is no token by itself
+                fits &= self.blanks[start[first + k + 1]] > self.blanks[e]  # so it is no token by itself
         out = np.full(len(first), -1)
         at = np.flatnonzero(fits & long)
         least, most = np.full(len(at), np.inf), np.full(len(at), -np.inf)
         for k in range(more):
             one = first[at] + k
-            gain = self.joining(start[one], end[one], start[one + 1], end[one + 1])
-            least, most = np.minimum(least, gain), np.maximum(most, gain)
+            low, high = self.joining(start[one], end[one], start[one + 1], end[one + 1])
+            least, most = np.minimum(least, low), np.maximum(most, high)
         out[at[least > 1e-6]] = 1
         out[at[(most < -1e-6) & alike[at]]] = 0
         return out
 
-    def joining(self, start: np.ndarray, gap: np.ndarray, after: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def joining(
+        self, start: np.ndarray, gap: np.ndarray, after: np.ndarray, end: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
         """How much better plain pieces [start, gap) and [after, end), with gap bytes between,
-        are when joined than with a blank. The two paths differ in the gap and in the three
-        bytes after it only, so the rest of the text need not be looked at."""
+        are when joined than with a blank: the least and the most over the choices for letters
+        that are repeated in the three bytes on each side (minus and plus infinity where there
+        are several). The paths differ in the gap and in the three bytes after it only, so the
+        rest of the text need not be looked at."""
+        n = len(gap)
+        before = [(gap - k > start) & self.again[np.maximum(gap - k, 0)] for k in (1, 2, 3)]
+        behind = [(after + k < end) & self.again[after + k] for k in (1, 2, 3)]
+        several = before[0] & (before[1] | before[2]) | before[1] & before[2]
+        several |= behind[0] & (behind[1] | behind[2]) | behind[1] & behind[2]
+        least, most = np.full(n, np.inf), np.full(n, -np.inf)
+        least[several], most[several] = -np.inf, np.inf
+        every = np.ones(n, dtype=bool)
+        # the last three bytes before the gap, and the first three after it
+        lefts = [(every, (3, 2, 1)), (before[0], (4, 3, 2)), (before[1], (4, 3, 1))]
+        rights = [(every, (0, 1, 2)), (behind[0], (0, 2, 3)), (behind[1], (0, 1, 3))]
+        for has_left, left in lefts:
+            for has_right, right in rights:
+                rows = np.flatnonzero(has_left & has_right & ~several)
+                if len(rows):
+                    gain = self._gain(start[rows], gap[rows], after[rows], end[rows], left, right)
+                    least[rows] = np.minimum(least[rows], gain)
+                    most[rows] = np.maximum(most[rows], gain)
+        return least, most
+
+    def _gain(self, start, gap, after, end, left, right) -> np.ndarray:
         low, logs = self.low, self.model.logs
-        before = np.zeros(len(gap), dtype=np.int64)  # up to three bytes before the gap
-        size = np.minimum(gap - start + 1, 3)
-        for k in (3, 2, 1):
+        before = np.zeros(len(gap), dtype=np.int64)
+        for k in left:
             before = before << 8 | np.where(gap - k >= start, low[np.maximum(gap - k, 0)], 0)
+        size = np.minimum(gap - start + 1 - (left[0] > 3), 3)
         joined, apart = before, before << 8
         joined_size, apart_size = size, np.minimum(size + 1, 3)
         gain = np.where(self.cheap[after] > self.cheap[gap], 0.0, 2.3) - logs(apart & 0xFFFFFFFF, size)
-        for k in range(3):
+        for k in right:
             inside = after + k <= end  # the byte at the end is the blank after the word
-            byte = np.where(after + k < end, low[np.minimum(after + k, len(low) - 1)], 0)
+            byte = np.where(after + k < end, low[after + k], 0)
             joined, apart = (joined << 8 | byte) & 0xFFFFFFFF, (apart << 8 | byte) & 0xFFFFFFFF
             gain += np.where(inside, logs(joined, joined_size) - logs(apart, apart_size), 0)
             joined_size, apart_size = np.minimum(joined_size + 1, 3), np.minimum(apart_size + 1, 3)
@@ -358,6 +396,11 @@ def _split(
         # a first letter taken as one with the letter before it is that letter
         first, stop = moved[letters[start] + 1] - 1, moved[letters[end]]
         hashes = _Spans(values[keep])
+        if plain:  # pieces with a chosen feature of their own
+            counts = lookup.has(hashes.hash(first, stop))
+            for k in BEGINNINGS:
+                part = np.flatnonzero(stop - first > k)
+                counts[part] |= lookup.has(hashes.hash(first[part], first[part] + k) + np.uint64(k))
         runs = np.arange(len(start))
         for more in range(1, PIECES):
             runs = runs[runs + more < len(start)]
@@ -371,8 +414,8 @@ def _split(
                 part = np.flatnonzero((high - low > k) & (before - low <= k))
                 has[part] |= lookup.has(hashes.hash(low[part], low[part] + k) + np.uint64(k))
             some = at[has]
-            if plain:
-                what = plain.decided(start, end, some, more)
+            if plain and len(some):
+                what = plain.decided(start, end, some, more, counts)
                 sure = some[what == 1]
                 joined.append(np.stack((start[sure], end[sure + more]), axis=1))
                 some = some[what == -1]
@@ -406,14 +449,14 @@ def hidden_tokens(
     gaps = np.concatenate(([0], np.cumsum(_GAP[data] & ~blank)))
     between = np.diff(part) - 1
     odd[part[1:][(between > 0) & (gaps[part[1:]] - gaps[part[:-1] + 1] == between)]] = True
-    starts = np.flatnonzero(~blank & np.concatenate(([True], blank[:-1])))
-    starts = np.union1d(starts, offsets[:-1][(offsets[:-1] < n)])
-    starts = starts[~blank[starts]]
-    ends = np.flatnonzero(~blank & np.concatenate((blank[1:], [True]))) + 1
-    inner = offsets[1:-1]
-    inner = inner[(inner > 0) & (inner < n)]
-    ends = np.union1d(ends, inner[~blank[inner - 1]])
-    token = np.unique(np.searchsorted(starts, np.flatnonzero(odd), side="right") - 1)
+    begins = np.zeros(n + 1, dtype=bool)
+    begins[offsets] = True
+    seen = np.concatenate(([False], ~blank, [False]))
+    starts = np.flatnonzero(seen[1:] & (~seen[:-1] | begins))
+    ends = np.flatnonzero(seen[:-1] & (~seen[1:] | begins))
+    has_odd = np.zeros(len(starts), dtype=bool)
+    has_odd[np.searchsorted(starts, np.flatnonzero(odd), side="right") - 1] = True
+    token = np.flatnonzero(has_odd)
     spans = [(int(starts[k]), int(ends[k])) for k in token.tolist()]
     spans += _spelled(data, offsets)
     if lookup is not None and len(lookup.chosen):

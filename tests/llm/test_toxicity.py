@@ -107,7 +107,7 @@ def test_probabilities_in_arrays_equal_single_ones(small_model):
 
 
 def test_what_is_decided_in_arrays_changes_no_feature(small_model):
-    """The same features, as often, as with every split token on its lattice."""
+    """The same chosen features, as often, as with every split token on its lattice."""
     draw = random.Random(11)
     parts = ["id", "iot", "lo", "ser", "the", "mo", "ron", "sc", "um", "a", "tr", "ash", "baar", "lll", "é", "élè", "ve", "éé", "na",
              "1d", "0t", "x!", "$c", "no", "on", "oo", "Id", "IOT", "日", "s"]
@@ -122,8 +122,8 @@ def test_what_is_decided_in_arrays_changes_no_feature(small_model):
     def features(restorer):
         out = Counter()
         for low, _, found in restorer.features(pa.array(texts)):
-            for text, hashes in found:
-                out.update((low + int(a), int(b)) for a, b in zip(text, hashes) if b)
+            text, number, times = restorer.lookup.had(found)
+            out.update({(low + int(a), int(b)): int(n) for a, b, n in zip(text, number, times)})
         return out
 
     class Slow(t.Restorer):
@@ -134,12 +134,12 @@ def test_what_is_decided_in_arrays_changes_no_feature(small_model):
     fast = Slow(small_model, lookup)
     slow = Slow(small_model, lookup)
     got = features(fast)
-    plain, t._Plain.decided = t._Plain.decided, lambda self, start, end, first, more: np.full(len(first), -1)
+    plain, t._Plain.decided = t._Plain.decided, lambda self, start, end, first, more, counts: np.full(len(first), -1)
     try:
         want = features(slow)
     finally:
         t._Plain.decided = plain
-    assert got == want and sum(want.values()) > 1000
+    assert got == want and len(want) > 200
     assert fast.asked < slow.asked
 
 
@@ -191,7 +191,7 @@ def test_each_spelling_is_found_whole(model, hidden):
     from jobgrain.llm import wordhash
 
     data, offsets = wordhash.text_bytes(pa.array(["plain", f"so {hidden}, then"]))
-    found = t.hidden_tokens(wordhash.words_of(data, offsets), offsets, t.Lookup(model[1]))
+    found, _ = t.hidden_tokens(wordhash.words_of(data, offsets), offsets, t.Lookup(model[1]))
     assert any(k == 1 and hidden in token for k, token in found)
 
 
