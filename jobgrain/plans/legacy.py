@@ -88,7 +88,10 @@ def locations(raws: list[DataFrame], split: bool = False) -> DataFrame:
         every = text if every is None else every.unionByName(text)
     c = F.col("locations")
     every = every.distinct()
-    parsed = _places(every, True) if split else every.select(*[v.alias(k) for k, v in place_of(c, c).items()])
+    # Exploded, so that only distinct texts are parsed: a filter on a plain expression
+    # would be moved below the distinct and parse every row.
+    whole = F.explode(F.array(F.struct(*[v.alias(k) for k, v in place_of(c, c).items()])))
+    parsed = _places(every, True) if split else every.select(whole.alias("_place")).select("_place.*")
     return with_ids(parsed.where(F.col("city") != "").distinct(), PLACE, "id")
 
 
@@ -114,26 +117,31 @@ def location_bridge(
 
 def salaries(raw: DataFrame, companies: DataFrame, locations: DataFrame) -> DataFrame:
     """Salaries with a city and at least one bound; company and place may be
-    unknown."""
-    c = F.col("locations")
-    parsed = raw.where(
-        F.col("salary_min").isNotNull() | F.col("salary_max").isNotNull()
-    ).select(
-        "company_name",
-        F.trim("adz_job_name").alias("title"),
-        "salary_min",
-        "salary_max",
-        value_of_key(c, "city").alias("city"),
-        value_of_key(c, "subdivision_code").alias("subdivision_code"),
-        value_of_key(c, "country_code").alias("country_code"),
+    unknown. Salaries and companies are reduced to distinct ones by folded name before
+    they meet, as all companies of one name share its salaries."""
+    bounds = ["salary_min", "salary_max"]
+    batch = (
+        raw.where(F.col("salary_min").isNotNull() | F.col("salary_max").isNotNull())
+        .select(
+            folded(F.col("company_name")).alias("company_name"),
+            F.trim("adz_job_name").alias("title"),
+            *bounds,
+            "locations",
+        )
+        .distinct()
     )
+    c = F.col("locations")
+    place = F.struct(*[value_of_key(c, k).alias(k) for k in PLACE])
+    # exploded, so that the place is parsed after the distinct
+    parsed = batch.select("company_name", "title", *bounds, F.explode(F.array(place)).alias("_place"))
+    parsed = parsed.select("company_name", "title", *bounds, "_place.*").where(F.col("city") != "")
     placed = lookup(
-        parsed.where(F.col("city") != ""), locations, [(k, k) for k in PLACE],
-        {"id": "location_id"}, "left", null_safe=True,
+        parsed, locations, [(k, k) for k in PLACE], {"id": "location_id"}, "left", null_safe=True
     )
+    known = companies.select(folded(F.col("name")).alias("name"), "id").distinct()
     owned = lookup(
-        placed, companies, [("company_name", "name")], {"id": "company_id"}, "left",
-        left_form=folded, right_form=folded,
+        placed.select("company_name", "location_id", "title", *bounds).distinct(),
+        known, [("company_name", "name")], {"id": "company_id"}, "left",
     )
     keys = ["company_id", "location_id", "title", "salary_min", "salary_max"]
     return with_ids(owned.select(*keys).distinct(), keys, "id")

@@ -67,3 +67,30 @@ def test_split_places_are_linked_one_by_one(spark):
     assert sorted(r.city for r in split.collect()) == ["A", "B"] and whole.count() == 1
     pairs = legacy.location_bridge(raw, "job_name", jobs, split, "job_id", split=True)
     assert pairs.count() == 4
+
+
+def test_only_distinct_location_texts_are_parsed(spark):
+    raw = spark.createDataFrame([("city: A",)] * 3 + [(None,)], "locations string")
+    found = legacy.locations([raw, raw])
+    assert [r.city for r in found.collect()] == ["A"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" in plan and "split(" not in plan[plan.rindex("Aggregate"):]
+
+
+def test_salaries_are_reduced_before_companies_of_one_name_join(spark):
+    raw = spark.createDataFrame(
+        [(name, " Dev", 1.0, None, "city: A, subdivision_code: B, country_code: C") for name in ("Acme", " ACME ", "acme", None) * 3]
+        + [("acme", "Dev", 1.0, None, "remote"), ("acme", "Dev", None, None, "city: A"), ("acme", "Dev", 2.0, 3.0, None)],
+        "company_name string, adz_job_name string, salary_min double, salary_max double, locations string",
+    )
+    companies = spark.createDataFrame([(i, "Acme") for i in (1, 2, 2)] + [(3, None)], "id bigint, name string")
+    locations = legacy.locations([raw])
+    found = legacy.salaries(raw, companies, locations)
+    place = locations.first().id
+    got = [tuple(r)[1:] for r in found.orderBy("company_id", "location_id").collect()]
+    assert got == [
+        (None, place, "Dev", 1.0, None), (1, None, "Dev", 1.0, None), (1, place, "Dev", 1.0, None),
+        (2, None, "Dev", 1.0, None), (2, place, "Dev", 1.0, None),
+    ]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan.split("Join LeftOuter")[1]  # between it and the join with the places
