@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from jobgrain.functions.text import has_text
 from jobgrain.operators.joins import folded, lookup, trimmed
 from jobgrain.operators.keys import insert_if_absent, next_after, with_ids
+from jobgrain.operators.rows import one_per_key
 
 PLACE = ["city", "subdivision_code", "country_code"]
 PLACE_PAIRS = [
@@ -179,32 +180,26 @@ def salaries(
     null_safe: bool = False,
 ) -> DataFrame:
     """Salaries of known companies (found by name, whatever the case) at known
-    places; one row per company, place, title, level and category. `load_batch`
-    counts the loads and says which of several salaries is newer."""
-    batch = (
-        raw_salaries.where(F.col("location_city") != "")
-        .select(
-            "company_name",
-            F.trim("adz_job_name").alias("title"),
-            "salary_min",
-            "salary_max",
-            "level",
-            "categories",
-            *[c for c, _ in PLACE_PAIRS],
-        )
-        .distinct()
-    )
-    placed = lookup(batch, locations, PLACE_PAIRS, {"id": "location_id"}, null_safe=null_safe)
-    levelled = lookup(
-        placed, levels, [("level", "level")], {"id": "level_id"}, "left", left_form=trimmed
-    )
-    filed = lookup(
-        levelled, categories, [("categories", "name")], {"id": "category_id"}, "left",
-        left_form=trimmed,
+    places; one row per company, place, title, level and category. The salaries are
+    reduced to one per such key by folded name before the companies are joined, as all
+    companies of one name share them. `load_batch` counts the loads and says which of
+    several salaries is newer."""
+    match = ["company_name", "title", "level", "categories", *[c for c, _ in PLACE_PAIRS]]
+    batch = raw_salaries.where(F.col("location_city") != "").select(
+        folded(F.col("company_name")).alias("company_name"),
+        F.trim("adz_job_name").alias("title"),
+        F.trim("level").alias("level"),
+        F.trim("categories").alias("categories"),
+        *[c for c, _ in PLACE_PAIRS],
+        "salary_min",
+        "salary_max",
     )
+    one = one_per_key(batch, match)
+    placed = lookup(one, locations, PLACE_PAIRS, {"id": "location_id"}, null_safe=null_safe)
+    levelled = lookup(placed, levels, [("level", "level")], {"id": "level_id"}, "left")
+    filed = lookup(levelled, categories, [("categories", "name")], {"id": "category_id"}, "left")
     owned = lookup(
-        filed, companies, [("company_name", "name")], {"id": "company_id"},
-        left_form=folded, right_form=folded,
+        filed, companies, [("company_name", "name")], {"id": "company_id"}, right_form=folded
     )
     keys = ["company_id", "location_id", "title", "level_id", "category_id"]
     rows = owned.select(*keys, "salary_min", "salary_max")
