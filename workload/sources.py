@@ -127,12 +127,17 @@ def company_names(spark, sf):
 
 
 def _arrays(spark, records, name: str, root: str) -> str:
-    """Records as files that hold one JSON array each, of a hundred records or so."""
-    files = records.withColumn("_file", F.floor(F.abs(F.xxhash64("id")) % (1 + records.count() // 100)))
+    """Records as files that hold one JSON array each: about a thousand files of at least a
+    hundred records, and more than that only when a file would hold over 20,000."""
+    count = records.count()
+    size = min(max(100, count // 1000), 20_000)
+    files = records.withColumn("_file", F.floor(F.abs(F.xxhash64("id")) % (1 + count // size)))
     text = F.to_json(F.struct(*records.columns))
-    arrays = files.groupBy("_file").agg(F.array_join(F.sort_array(F.collect_list(text)), ",\n").alias("x"))
+    arrays = files.select("_file", text.alias("text")).repartition("_file").groupBy("_file").agg(
+        F.array_join(F.sort_array(F.collect_list("text")), ",\n").alias("x")
+    )
     arrays = arrays.select("_file", F.concat(F.lit("["), "x", F.lit("]")).alias("value"))
-    arrays.repartition("_file").write.partitionBy("_file").text(f"{root}/{name}")
+    arrays.write.partitionBy("_file").text(f"{root}/{name}")
     return f"{root}/{name}/_file=*"
 
 
