@@ -29,11 +29,14 @@ def keep_first(df: DataFrame, keys: list[str], order: Column | str) -> DataFrame
     a key that holds a large share of all rows is no burden on one task, as a
     window over the key would be.
     """
-    rest = [c for c in df.columns if c not in keys]
+    held = order if isinstance(order, str) and order not in keys else None
+    rest = [c for c in df.columns if c not in keys and c != held]
     order = F.col(order) if isinstance(order, str) else order
-    first = F.min_by(F.struct(*rest), order).alias("_first")
-    return df.groupBy(*keys).agg(first).select(
-        *[F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns]
+    found = [F.min_by(F.struct(*rest), order).alias("_first")] if rest else []
+    if held:  # beside the other columns, so that it crosses the shuffle once, not twice
+        found.append(F.min(held).alias(held))
+    return df.groupBy(*keys).agg(*found).select(
+        *[F.col(c) if c in keys or c == held else F.col("_first")[c].alias(c) for c in df.columns]
     )
 
 

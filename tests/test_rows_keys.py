@@ -122,3 +122,13 @@ def test_quality(spark):
 def test_one_per_key(spark, prefer, want):
     df = spark.createDataFrame([("a", 9), ("a", 1)], "k string, v int")
     assert rows.one_per_key(df, ["k"], prefer).first().v == want
+
+
+def test_the_order_of_first_rows_is_shuffled_once(spark):
+    df = spark.createDataFrame([(1, "b", 2, 5), (1, "a", 1, 6), (None, "c", None, 7)], "k int, v string, o int, w int")
+    first = rows.keep_first(df, ["k"], "o")
+    assert first.columns == df.columns
+    assert {tuple(r) for r in first.collect()} == {(1, "a", 1, 6), (None, None, None, None)}
+    plan = first.drop("o")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("o#") <= 3 and "struct(v, v" in plan  # of the scan, and what orders
+    assert "struct(v, v" in plan and ", o, o#" not in plan
