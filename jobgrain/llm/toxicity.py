@@ -67,8 +67,9 @@ class CharModel:
     """Log probabilities of the next byte after up to three others, each order mixed with
     the one below in proportion to how many kinds of successors its context has."""
 
-    def __init__(self, orders: list[tuple[np.ndarray, ...]]):
-        self.orders = orders
+    def __init__(self, orders: list[tuple[np.ndarray, ...]] | tuple[np.ndarray, np.ndarray]):
+        """From what `counted` gives, or from what it takes."""
+        self.orders = self.counted(*orders) if isinstance(orders, tuple) else orders
         self.log = lru_cache(1 << 16)(self._log)
 
     @staticmethod
@@ -735,8 +736,8 @@ def train(
     label: str = "toxic",
     rows: int = TRAIN_ROWS,
 ):
-    """(what the character model looks up, sorted hashes of the chosen features, their weights by
-    number of times, the constant)."""
+    """((sorted runs of four bytes, how often each is there) for the character model, sorted hashes
+    of the chosen features, their weights by number of times, the constant)."""
     spark = docs.sparkSession
     known = labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("toxic"))
     known = known.filter(F.col("id").isNotNull() & F.col("toxic").isNotNull() & (fold(F.col("id")) != 0))
@@ -757,8 +758,8 @@ def train(
     grams = grams.groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     codes, n = (grams.column(k).to_numpy() for k in ("gram", "n"))
     order = np.argsort(codes)
-    orders = CharModel.counted(codes[order], n[order])
-    shared = spark.sparkContext.broadcast(orders)
+    grams = codes[order], n[order]
+    shared = spark.sparkContext.broadcast(CharModel.counted(*grams))
     counts = sample.mapInArrow(
         _feature_counter(shared), "feature long, level int, bad long, good long"
     )
@@ -767,7 +768,7 @@ def train(
     bad, good = int(totals[0] or 0), int(totals[1]) - int(totals[0] or 0)
     if not bad or not good:
         shared.destroy()
-        return orders, np.empty(0, dtype=np.uint64), np.zeros((0, LEVELS + 1)), -30.0
+        return grams, np.empty(0, dtype=np.uint64), np.zeros((0, LEVELS + 1)), -30.0
     p, r = (F.col("bad") + 0.5) / (bad + 1), (F.col("good") + 0.5) / (good + 1)
     ratio = F.col("bad") * F.log(p / r) + F.col("good") * F.log(r / p)
     best = (
@@ -798,12 +799,13 @@ def train(
     # by number of times: none, once, ...; each level counts besides those below it
     table = np.zeros((len(chosen), LEVELS + 1))
     table[:, 1:] = weights.reshape(-1, LEVELS).cumsum(axis=1)
-    return orders, chosen, table, float(fitted[-1])
+    return grams, chosen, table, float(fitted[-1])
 
 
 def score(docs: DataFrame, model, text: str = "text", into: str = "score") -> DataFrame:
     """Add a score in 0..1 to every document."""
-    shared = sent(docs.sparkSession, model)
+    # what the character model looks up is made once, not by each worker
+    shared = sent(docs.sparkSession, (CharModel.counted(*model[0]), *model[1:]))
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         orders, chosen, table, constant = shared.value
