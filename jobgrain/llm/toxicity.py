@@ -49,7 +49,7 @@ MIN_TEXTS = 5
 BEGINNINGS = (4, 5, 6)  # bytes of a word's beginning that are features
 PIECES = 4  # of a word that is split by gaps
 LEVELS = 3  # a feature is had at least once, twice, three times
-GROUP = 1 << 19  # bytes of text handled together
+GROUP = 1 << 18  # bytes of text handled together, so few that their arrays stay in the cache
 
 # Symbols and the letters they stand for.
 LOOKALIKES = {
@@ -187,6 +187,13 @@ _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _HIDES = re.compile(r"[^\W\d_]")
 _SAME = re.compile(r"([^\w\s])\1\1+$")
 _SPLIT = re.compile(r"[^\W_][\s%s]+[^\W_]" % re.escape(GAPS))
+_AGAIN = re.compile(r"(\w)\1\1")
+_LOOKALIKE = frozenset(LOOKALIKES)
+_TRIM_FIRST, _TRIM_LAST = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_TRIM_FIRST[[*map(ord, _TRIM + "(![{<")]] = _TRIM_LAST[[*map(ord, _TRIM + "!")]] = True
+# bytes by themselves enough to look at a token's characters
+_UNTOLD = _SYMBOL.copy()
+_UNTOLD[[ord("_"), *range(0x20), *range(0x7F, 0x100)]] = True
 _GAP = np.zeros(256, dtype=bool)
 _GAP[[*map(ord, GAPS), *range(0x09, 0x0E)]] = True
 _SIGN_GAP = np.zeros(256, dtype=bool)
@@ -207,33 +214,45 @@ def _readings() -> list[np.ndarray]:
 _READINGS = _readings()
 
 
+def _runs(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes and ends of the runs of bytes that the mask has, cut between texts."""
+    inside = np.zeros(len(mask) + 2, dtype=bool)
+    inside[1:-1] = mask
+    new = np.zeros(len(mask) + 1, dtype=bool)
+    new[offsets] = True
+    start = np.flatnonzero(inside[1:] & (~inside[:-1] | new))
+    return start, np.flatnonzero(inside[:-1] & (~inside[1:] | new))
+
+
+def _linked(start: np.ndarray, breaks: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Whether each run and the next one are of one text, without a break between them."""
+    out = np.ones(max(len(start) - 1, 0), dtype=bool)
+    after = np.searchsorted(start, np.concatenate((breaks, offsets)))
+    out[after[(after > 0) & (after < len(start))] - 1] = False
+    return out
+
+
 def _spelled(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
     """Spans of three or more single characters with nothing but gaps between."""
     unit = _LETTER[data] | _SYMBOL[data]
-    begins = unit & ((data & 0xC0) != 0x80)  # not inside a character
-    place = np.flatnonzero(begins)
-    if len(place) < 3:
+    start, end = _runs(unit, offsets)
+    size = end - start
+    alone = size == 1
+    at = np.flatnonzero((size > 1) & (size <= 4))  # one character beyond ASCII
+    at = at[data[start[at]] >= 0xC0]
+    for k in (1, 2, 3):
+        at = at[(size[at] <= k) | ((data[np.minimum(start[at] + k, len(data) - 1)] & 0xC0) == 0x80)]
+    alone[at] = True
+    at = np.flatnonzero(alone[:-1] & alone[1:])
+    if len(at) < 2:
         return []
-    end = np.concatenate((place[1:], [len(data)]))
-    inside = np.concatenate(([0], np.cumsum(unit)))
-    size = inside[end] - inside[place]  # bytes of the character, which lie together
-    stop = place + size
-    text = np.searchsorted(offsets, place, side="right")
-    near = (place[1:] == stop[:-1]) & (text[1:] == text[:-1])
-    alone = np.ones(len(place), dtype=bool)
-    alone[1:] &= ~near
-    alone[:-1] &= ~near
-    gaps = np.concatenate(([0], np.cumsum(_GAP[data])))
-    joined = np.zeros(len(place) + 1, dtype=bool)
-    joined[1:-1] = (
-        alone[1:] & alone[:-1] & (text[1:] == text[:-1])
-        & (gaps[place[1:]] - gaps[stop[:-1]] == place[1:] - stop[:-1])
-    )
+    joined = np.zeros(len(start) + 1, dtype=bool)
+    joined[at + 1] = _linked(start, np.flatnonzero(~unit & ~_GAP[data]), offsets)[at]
     runs = np.flatnonzero(np.diff(joined.astype(np.int8)))
     return [
-        (int(place[a]), int(stop[b]))
+        (int(start[a]), int(end[b]))
         for a, b in zip(runs[::2].tolist(), runs[1::2].tolist())
-        if b - a >= 2 and len(set(data[place[a : b + 1]].tolist())) > 1
+        if b - a >= 2 and len(set(data[start[a : b + 1]].tolist())) > 1
     ]
 
 
@@ -279,10 +298,17 @@ class _Plain:
         # a gap sign costs 2.3 more as a blank than as nothing, other white space does not
         self.cheap = np.concatenate(([0], np.cumsum(_GAP[data] & ~_SIGN_GAP[data])))
 
+    def weigh(self, start: np.ndarray, end: np.ndarray, pieces: np.ndarray) -> None:
+        """Find for each gap after one of the pieces what joining gains."""
+        self.least, self.most = np.full(len(start), np.nan), np.full(len(start), np.nan)
+        after = pieces + 1
+        found = self.joining(start[pieces], end[pieces], start[after], end[after])
+        self.least[pieces], self.most[pieces] = found
+
     def decided(
         self, start: np.ndarray, end: np.ndarray, first: np.ndarray, more: int, counts: np.ndarray
     ) -> np.ndarray:
-        """Of runs of 1 + `more` pieces, from the pieces `first` on: 0 for those surely
+        """Of runs of 1 + `more` pieces whose gaps were weighed, from the pieces `first` on: 0 for those surely
         left apart, with repeated letters at most in pieces that do not count (have no
         chosen feature); 1 for those surely joined to one word; else -1."""
         fits, alike, long = np.ones(len(first), bool), np.ones(len(first), bool), np.zeros(len(first), bool)
@@ -301,8 +327,7 @@ class _Plain:
         least, most = np.full(len(at), np.inf), np.full(len(at), -np.inf)
         for k in range(more):
             one = first[at] + k
-            low, high = self.joining(start[one], end[one], start[one + 1], end[one + 1])
-            least, most = np.minimum(least, low), np.maximum(most, high)
+            least, most = np.minimum(least, self.least[one]), np.maximum(most, self.most[one])
         out[at[least > 1e-6]] = 1
         out[at[(most < -1e-6) & alike[at]]] = 0
         return out
@@ -326,16 +351,24 @@ class _Plain:
         # the last three bytes before the gap, and the first three after it
         lefts = [(every, (3, 2, 1)), (before[0], (4, 3, 2)), (before[1], (4, 3, 1))]
         rights = [(every, (0, 1, 2)), (behind[0], (0, 2, 3)), (behind[1], (0, 1, 3))]
-        for has_left, left in lefts:
-            for has_right, right in rights:
-                rows = np.flatnonzero(has_left & has_right & ~several)
-                if len(rows):
-                    gain = self._gain(start[rows], gap[rows], after[rows], end[rows], left, right)
-                    least[rows] = np.minimum(least[rows], gain)
-                    most[rows] = np.maximum(most[rows], gain)
+        rows, left, right = [], [], []
+        for has_left, places in lefts:
+            for has_right, others in rights:
+                rows.append(np.flatnonzero(has_left & has_right & ~several))
+                left.append(np.tile(places, (len(rows[-1]), 1)))
+                right.append(np.tile(others, (len(rows[-1]), 1)))
+        of = np.concatenate(rows)
+        left, right = np.concatenate(left).T, np.concatenate(right).T
+        gains = self._gain(start[of], gap[of], after[of], end[of], left, right)
+        ends = np.cumsum([len(r) for r in rows])
+        for row, gain in zip(rows, np.split(gains, ends[:-1])):
+            least[row] = np.minimum(least[row], gain)
+            most[row] = np.maximum(most[row], gain)
         return least, most
 
     def _gain(self, start, gap, after, end, left, right) -> np.ndarray:
+        """Gains where the rows of `left` and `right` have the places of the bytes before the
+        gap and after it."""
         low, logs = self.low, self.model.logs
         before = np.zeros(len(gap), dtype=np.int64)
         for k in left:
@@ -375,46 +408,48 @@ def _split(
     those surely left as they are do not come."""
     spans, joined = set(), [np.empty((0, 2), dtype=np.int64)]
     plain = _Plain(data, model) if model else None
-    gaps = np.concatenate(([0], np.cumsum(_GAP[data])))
-    new = np.zeros(len(data) + 1, dtype=bool)
-    new[offsets] = True
     signs = np.concatenate(([0], np.cumsum(_SYMBOL[data])))
     for number, reading in enumerate(_READINGS):
         values = reading[data]
-        inside = np.zeros(len(values) + 2, dtype=bool)
-        inside[1:-1] = values != 0
-        start = np.flatnonzero(inside[1:] & (~inside[:-1] | new))
-        end = np.flatnonzero(inside[:-1] & (~inside[1:] | new))
+        start, end = _runs(values != 0, offsets)
         if len(start) < 2:
             continue
-        text = np.searchsorted(offsets, start, side="right")
-        linked = (text[1:] == text[:-1]) & (gaps[start[1:]] - gaps[end[:-1]] == start[1:] - end[:-1])
-        letters = np.concatenate(([0], np.cumsum(values != 0)))
+        linked = _linked(start, np.flatnonzero((values == 0) & ~_GAP[data]), offsets)
+        letters = np.cumsum(end - start)
         values = values[values != 0]
         keep = np.ones(len(values), dtype=bool)
         keep[1:] = values[1:] != values[:-1]
         moved = np.concatenate(([0], np.cumsum(keep)))
         # a first letter taken as one with the letter before it is that letter
-        first, stop = moved[letters[start] + 1] - 1, moved[letters[end]]
+        first, stop = moved[letters - (end - start) + 1] - 1, moved[letters]
         hashes = _Spans(values[keep])
-        if plain:  # pieces with a chosen feature of their own
-            counts = lookup.has(hashes.hash(first, stop))
-            for k in BEGINNINGS:
-                part = np.flatnonzero(stop - first > k)
-                counts[part] |= lookup.has(hashes.hash(first[part], first[part] + k) + np.uint64(k))
-        runs = np.arange(len(start))
+        if number:
+            signs_before, signs_after = signs[np.maximum(start - 1, 0)], signs[np.minimum(end + 1, len(data))]
+        runs, found = np.arange(len(start)), []
         for more in range(1, PIECES):
             runs = runs[runs + more < len(start)]
             runs = at = runs[linked[runs + more - 1]]
             if number:  # without signs inside or beside it, a span reads as before
-                near = signs[np.minimum(end[at + more] + 1, len(data))]
-                at = at[near > signs[np.maximum(start[at] - 1, 0)]]
+                at = at[signs_after[at + more] > signs_before[at]]
             low, high, before = first[at], stop[at + more], stop[at + more - 1]
             has = lookup.has(hashes.hash(low, high))
             for k in BEGINNINGS:
                 part = np.flatnonzero((high - low > k) & (before - low <= k))
                 has[part] |= lookup.has(hashes.hash(low[part], low[part] + k) + np.uint64(k))
-            some = at[has]
+            found.append(at[has])
+        if plain:  # pieces of the spans found with a chosen feature of their own
+            counts, before_gap = np.zeros(len(start), dtype=bool), np.zeros(len(start), dtype=bool)
+            for more, some in enumerate(found, 1):
+                for k in range(more + 1):
+                    counts[some + k] = True
+                    before_gap[some + min(k, more - 1)] = True
+            plain.weigh(start, end, np.flatnonzero(before_gap))
+            at = np.flatnonzero(counts)
+            counts[at] = lookup.has(hashes.hash(first[at], stop[at]))
+            for k in BEGINNINGS:
+                part = at[stop[at] - first[at] > k]
+                counts[part] |= lookup.has(hashes.hash(first[part], first[part] + k) + np.uint64(k))
+        for more, some in enumerate(found, 1):
             if plain and len(some):
                 what = plain.decided(start, end, some, more, counts)
                 sure = some[what == 1]
@@ -424,6 +459,22 @@ def _split(
     return sorted(spans), np.unique(np.concatenate(joined), axis=0)
 
 
+def _may_hide(data: np.ndarray, start: np.ndarray, end: np.ndarray, gapped: np.ndarray) -> np.ndarray:
+    """Which tokens may have something to restore once they are trimmed: a symbol, a letter
+    three times or a gap (that ends before one of `gapped`), or bytes not told apart here."""
+    n = len(data)
+    kept_first = np.concatenate((np.flatnonzero(~_TRIM_FIRST[data]), [n]))
+    kept_last = np.concatenate(([-1], np.flatnonzero(~_TRIM_LAST[data])))
+    start = kept_first[np.searchsorted(kept_first, start)]
+    end = kept_last[np.searchsorted(kept_last, end) - 1] + 1
+    low = wordhash.WORD_BYTES[data]
+    told = _UNTOLD[data]
+    told[2:] |= (low[2:] != 0) & (low[2:] == low[1:-1]) & (low[2:] == low[:-2])
+    told[gapped] = True
+    told = np.flatnonzero(told)
+    return np.searchsorted(told, end) > np.searchsorted(told, start)
+
+
 def hidden_tokens(
     words: wordhash.Words,
     offsets: np.ndarray,
@@ -446,39 +497,37 @@ def hidden_tokens(
     odd[2:] |= letter[2:] & (low[2:] == low[1:-1]) & (low[2:] == low[:-2])
     blank = _BLANK[data]
     # a gap inside a token: between letters or look-alikes, with other gaps at most
-    part = np.flatnonzero(letter | symbol)
-    gaps = np.concatenate(([0], np.cumsum(_GAP[data] & ~blank)))
-    between = np.diff(part) - 1
-    odd[part[1:][(between > 0) & (gaps[part[1:]] - gaps[part[:-1] + 1] == between)]] = True
-    begins = np.zeros(n + 1, dtype=bool)
-    begins[offsets] = True
-    seen = np.concatenate(([False], ~blank, [False]))
-    starts = np.flatnonzero(seen[1:] & (~seen[:-1] | begins))
-    ends = np.flatnonzero(seen[:-1] & (~seen[1:] | begins))
+    part = letter | symbol
+    after, stop = _runs(part, offsets)
+    inner = _linked(after, np.flatnonzero(~part & (blank | ~_GAP[data])), offsets)
+    gapped = after[1:][inner & (after[1:] > stop[:-1])]
+    odd[gapped] = True
+    starts, ends = _runs(~blank, offsets)
     has_odd = np.zeros(len(starts), dtype=bool)
     has_odd[np.searchsorted(starts, np.flatnonzero(odd), side="right") - 1] = True
     token = np.flatnonzero(has_odd)
-    spans = [(int(starts[k]), int(ends[k])) for k in token.tolist()]
+    token = token[_may_hide(data, starts[token], ends[token], gapped)]
+    spans = list(zip(starts[token].tolist(), ends[token].tolist()))
     spans += _spelled(data, offsets)
     if lookup is not None and len(lookup.chosen):
         found, joined = _split(data, offsets, lookup, model)
         spans += found
     spans = sorted(set(spans))
     found = []
-    texts = np.searchsorted(offsets, [s for s, _ in spans], side="right") - 1 if spans else []
+    texts = (np.searchsorted(offsets, [s for s, _ in spans], side="right") - 1).tolist() if spans else []
     seen = set()  # spans that differ in what is trimmed only
-    sure = set(map(tuple, joined.tolist()))
+    sure = set((joined[:, 0] * (n + 1) + joined[:, 1]).tolist())
     for (start, end), text in zip(spans, texts):
         value = data[start:end].tobytes().decode("utf-8", "replace").lower()
         value = _SAME.sub("", value.rstrip(_TRIM)).rstrip(_TRIM + "!")
         start += len(value) - len(value := value.lstrip(_TRIM + "(![{<"))
-        if (start, value) in seen or (sure and (start, start + len(value.encode())) in sure):
+        if (start, value) in seen or (sure and start * (n + 1) + start + len(value.encode()) in sure):
             continue
         seen.add((start, value))
         if _HIDES.search(value) and (
-            any(c in LOOKALIKES for c in value) or re.search(r"(\w)\1\1", value) or _SPLIT.search(value)
+            not _LOOKALIKE.isdisjoint(value) or _AGAIN.search(value) or _SPLIT.search(value)
         ):
-            found.append((int(text), value))
+            found.append((text, value))
     return found, joined
 
 
@@ -493,13 +542,14 @@ def _word_features(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> li
     keep[start] = True  # the first byte of a word that follows another text's
     moved = np.concatenate(([0], np.cumsum(keep)))
     values, start, end = values[keep], moved[start], moved[end]
-    out = [wordhash.spans_hash(values, start, end)]
-    for k in BEGINNINGS:
-        longer = end - start > k
-        part = np.zeros(len(start), dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            part[longer] = wordhash.spans_hash(values, start[longer], start[longer] + k) + np.uint64(k)
-        out.append(part)
+    with np.errstate(over="ignore"):
+        hashes = _Spans(values)
+        out = [hashes.hash(start, end)]
+        for k in BEGINNINGS:
+            longer = np.flatnonzero(end - start > k)
+            part = np.zeros(len(start), dtype=np.uint64)
+            part[longer] = hashes.hash(start[longer], start[longer] + k) + np.uint64(k)
+            out.append(part)
     return out
 
 

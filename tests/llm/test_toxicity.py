@@ -211,3 +211,45 @@ def test_each_spelling_raises_the_score(spark, model):
     got = {r.doc_id: r.score for r in t.score(docs_of(spark, list(enumerate(texts))), model).collect()}
     low = [h for k, h in enumerate(SPELLINGS, 1) if got[k] <= 2 * got[0]]
     assert not low, (got, low)
+
+
+def test_each_gap_is_weighed_once(small_model, monkeypatch):
+    """Spans of two, three and four pieces share their gaps, and both readings their work."""
+    chosen = []
+    for word in ("idiot", "idiotlo", "idiotloser"):
+        line = np.frombuffer(word.encode() + b"\0", dtype=np.uint8)
+        chosen.append(np.concatenate(t._word_features(line, np.array([0]), np.array([len(word)]))))
+    lookup = t.Lookup(np.unique(np.concatenate(chosen))[1:])
+    calls, weighed = [], []
+    joining = t._Plain.joining
+
+    def counted(self, start, gap, after, end):
+        calls.append(len(gap))
+        weighed.extend(zip(start.tolist(), end.tolist()))
+        return joining(self, start, gap, after, end)
+
+    monkeypatch.setattr(t._Plain, "joining", counted)
+    text = "an id iot lo ser or idi ot, los er" * 3
+    list(t.Restorer(small_model, lookup).features(pa.array([text, text])))
+    assert sum(calls) and len(calls) <= 2 and len(set(weighed)) == len(weighed)
+
+
+def test_tokens_left_out_in_arrays_hide_nothing():
+    """What `_may_hide` refuses, the patterns for tokens refuse too."""
+    from jobgrain.llm import wordhash
+
+    draw = random.Random(8)
+    signs = list("abB13!$?(.,-_*'\"/:;[<&^\x1d\x85") + ["aaa", "üü", "é", "日", "İ", "!!!", "___", " ", " ", " ", "\n"]
+    texts = ["".join(draw.choices(signs, k=draw.randint(0, 60))) for _ in range(400)] + ["word! (so) [it] is, well... 'done'?"]
+    data, offsets = wordhash.text_bytes(pa.array(texts))
+    start, end = t._runs(~t._BLANK[data], offsets)
+    part = t._LETTER[data] | t._SYMBOL[data]
+    after, stop = t._runs(part, offsets)
+    inner = t._linked(after, np.flatnonzero(~part & (t._BLANK[data] | ~t._GAP[data])), offsets)
+    may = t._may_hide(data, start, end, after[1:][inner & (after[1:] > stop[:-1])])
+    for a, b, yes in zip(start.tolist(), end.tolist(), may.tolist()):
+        value = data[a:b].tobytes().decode().lower()
+        value = t._SAME.sub("", value.rstrip(t._TRIM)).rstrip(t._TRIM + "!").lstrip(t._TRIM + "(![{<")
+        hides = any(c in t.LOOKALIKES for c in value) or t._AGAIN.search(value) or t._SPLIT.search(value)
+        assert yes or not (t._HIDES.search(value) and hides), value
+    assert not may[-6:].any() and may[:-6].any()
