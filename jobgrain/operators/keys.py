@@ -12,6 +12,17 @@ from jobgrain.operators.rows import one_per_key
 ID_BUCKETS = 1 << 20  # five hexadecimal digits of a digest
 
 
+def key_digest(keys: list[str]) -> Column:
+    return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+
+
+def bucket_part(keys: list[str], part: int, parts: int) -> Column:
+    """Whether a row is in one of up to 16 parts of the buckets of `with_ids`. Numbering
+    these parts one after the other gives the same ids as numbering all rows at once."""
+    digits = [d for i, d in enumerate("0123456789abcdef") if i % parts == part]
+    return F.substring(key_digest(keys), 1, 1).isin(digits)
+
+
 def next_after(existing: DataFrame, id_column: str) -> Column:
     """Largest id in a table (0 when it is empty), as a scalar subquery."""
     return existing.agg(F.coalesce(F.max(id_column), F.lit(0))).scalar()
@@ -26,13 +37,15 @@ def with_ids(
     is its rank inside the bucket times the number of buckets plus the bucket.
     So numbering runs in parallel, needs one shuffle and no second pass, gives
     the same ids when a lost task is repeated, and cannot collide as a hash id
-    can. Like those of a database sequence, the ids may have gaps.
+    can. Like those of a database sequence, the ids may have gaps. Of the digest,
+    only the bucket and the eight bytes after it are shuffled; the keys settle ties.
     """
     after = F.lit(after) if isinstance(after, int) else after
-    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+    digest = key_digest(keys)
     bucket = F.conv(F.substring(digest, 1, 5), 16, 10).cast("bigint")
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_digest", *keys))
-    numbered = df.withColumns({"_digest": digest, "_bucket": bucket}).withColumn(
+    order = F.unhex(F.substring(digest, 6, 16))
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_order", *keys))
+    numbered = df.withColumns({"_order": order, "_bucket": bucket}).withColumn(
         "_rank", rank
     )
     new_id = after + (F.col("_rank") - 1) * F.lit(ID_BUCKETS) + F.col("_bucket") + 1

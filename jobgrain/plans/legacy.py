@@ -7,7 +7,9 @@ the fact holds only postings with a salary.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobgrain.functions.listtext import (
@@ -18,7 +20,7 @@ from jobgrain.functions.listtext import (
     value_of_key,
 )
 from jobgrain.operators.joins import folded, lookup
-from jobgrain.operators.keys import insert_if_absent, with_ids
+from jobgrain.operators.keys import bucket_part, insert_if_absent, with_ids
 from jobgrain.operators.lists import explode_parts
 from jobgrain.plans.star import date_parts
 
@@ -165,8 +167,12 @@ def dim_companies(
     return with_ids(rows, ["company_id", "industry"], "company_key")
 
 
-def dim_jobs(jobs: DataFrame, jobs_categories: DataFrame, categories: DataFrame) -> DataFrame:
-    """One row per job and category."""
+def dim_jobs(
+    jobs: DataFrame, jobs_categories: DataFrame, categories: DataFrame,
+    part: int = 0, parts: int = 1,
+) -> DataFrame:
+    """One row per job and category. With `parts`, one of so many parts of the rows, which
+    can be written one after the other so that less is shuffled at a time."""
     named = lookup(
         jobs_categories, categories, [("category_id", "id")], {"name": "category"}, "left"
     )
@@ -178,7 +184,10 @@ def dim_jobs(jobs: DataFrame, jobs_categories: DataFrame, categories: DataFrame)
         .select(F.col("id").alias("job_id"), "name", "level", "category")
         .distinct()
     )
-    return with_ids(rows, ["job_id", "category"], "job_key")
+    keys = ["job_id", "category"]
+    if parts > 1:
+        rows = rows.where(bucket_part(keys, part, parts))
+    return with_ids(rows, keys, "job_key")
 
 
 def dim_locations(locations: DataFrame) -> DataFrame:
@@ -195,8 +204,17 @@ def dim_date(jobs: DataFrame, companies: DataFrame) -> DataFrame:
     return with_ids(days.distinct(), ["full_date"], "date_key")
 
 
+def _mark(key: Column) -> Column:
+    """One of 64 bits for a key."""
+    bit = F.pmod(F.xxhash64(key), F.lit(64)).cast("int")
+    return F.when(key.isNotNull(), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit))
+
+
 def fact_job_postings(
-    norm: dict[str, DataFrame], dims: dict[str, DataFrame], every_salary: bool = False
+    norm: dict[str, DataFrame],
+    dims: dict[str, DataFrame],
+    every_salary: bool = False,
+    keep: Callable[[str, DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Distinct postings with a salary: the lowest and highest bound that the company
     offers at the place of the job, one row per job and place.
@@ -204,7 +222,11 @@ def fact_job_postings(
     `every_salary` gives the older rule instead: a row for every distinct salary of
     the company there. Its rows grow with jobs times salaries of a company and place,
     so it is for small tables only.
+
+    `keep(name, rows)` stores rows between the steps and reads them back, so that the
+    shuffles of a step can go before the next.
     """
+    keep = keep or (lambda _, rows: rows)
     jobs = norm["jobs"].withColumn("full_date", F.to_date("publication_date"))
     bounds = ["salary_min", "salary_max"]
     paid = (
@@ -213,11 +235,14 @@ def fact_job_postings(
         .select("company_id", "location_id", *bounds)
         .distinct()
     )
+    # 64 bits of a company tell most of the places where it pays nothing, whatever their
+    # number, so few other postings are shuffled to meet its salaries.
+    marks = paid.groupBy("company_id").agg(F.bit_or(_mark(F.col("location_id"))).alias("_marks"))
     if not every_salary:
         paid = paid.groupBy("company_id", "location_id").agg(
             F.min("salary_min").alias("salary_min"), F.max("salary_max").alias("salary_max")
         )
-    paid = paid.hint("rebalance")  # lets Spark split hot postings
+    paid, marks = paid.hint("rebalance"), marks.hint("rebalance")  # lets Spark split hot postings
     places = lookup(
         norm["locations"], dims["dim_locations"],
         [("city", "city"), ("subdivision_code", "state"), ("country_code", "country")],
@@ -225,11 +250,17 @@ def fact_job_postings(
     ).select("id", "location_key")
     # A posting without a matching salary is not kept, so the place and the salary
     # must both be there and these joins may be inner ones.
-    placed = lookup(jobs, norm["jobs_locations"], [("id", "job_id")], {"location_id": "location_id"})
+    marked = lookup(
+        jobs.select("id", "company_id", "full_date"), marks,
+        [("company_id", "company_id")], {"_marks": "_marks"},
+    )
+    placed = lookup(marked, norm["jobs_locations"], [("id", "job_id")], {"location_id": "location_id"})
+    placed = placed.where(F.col("_marks").bitwiseAND(_mark(F.col("location_id"))) != 0)
     priced = lookup(
-        placed, paid, [("company_id", "company_id"), ("location_id", "location_id")],
-        {b: b for b in bounds},
+        placed.drop("_marks"), paid,
+        [("company_id", "company_id"), ("location_id", "location_id")], {b: b for b in bounds},
     )
+    priced = keep("fact_priced", priced)
     keyed = lookup(priced, places, [("location_id", "id")], {"location_key": "location_key"})
     keyed = lookup(
         keyed, dims["dim_date"], [("full_date", "full_date")], {"date_key": "date_key"}, "left"
@@ -239,7 +270,10 @@ def fact_job_postings(
     )
     keyed = lookup(keyed, dims["dim_jobs"], [("id", "job_id")], {"job_key": "job_key"})
     keys = ["job_key", "company_key", "location_key", "date_key", *bounds]
-    return with_ids(keyed.select(*keys).distinct(), keys, "fact_id")
+    # A job key belongs to one job: with its id the rows are as distinct as without, and
+    # they lie by id already, so that they are not shuffled again.
+    rows = keep("fact_rows", keyed.select("id", *keys).distinct().drop("id"))
+    return with_ids(rows, keys, "fact_id")
 
 
 def append_new(rows: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:

@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from jobgrain.functions.listtext import location_parts, name_parts, place_of, places_in, value_of_key
@@ -94,3 +97,68 @@ def test_salaries_are_reduced_before_companies_of_one_name_join(spark):
     ]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" in plan.split("Join LeftOuter")[1]  # between it and the join with the places
+
+
+@pytest.mark.parametrize("every_salary", [True, False])
+def test_fact_holds_each_paid_posting_once(spark, tmp_path, every_salary):
+    r = random.Random(5)
+    places = [(i, f"{'c' if i % 2 else ' C'}{i // 4}", "s", None if i == 7 else "t") for i in range(100)]
+    jobs = [(i % 110, r.choice([None, *range(9)]), i % 4 == 0) for i in range(120)]
+    linked = [(r.randrange(115), r.randrange(100)) for _ in range(2500)]
+    paid = [(r.choice([None, *range(7), 8]), r.choice([None, *range(100)]), r.choice([None, 1.0, 2.0]), r.choice([None, 3.0])) for _ in range(500)]
+    paid += [(8, p, 5.0, 6.0) for p in range(100)]  # a company that pays everywhere
+    place_keys = {i: (c.strip().lower(), s, t) for i, c, s, t in places}
+    dim_places = sorted({(i // 4 * 10, c.strip(), s, t) for i, c, s, t in places if t}, key=str)
+    dim_jobs = [(1000 + i, i // 2) for i in range(220)]  # two of each job
+    dim_companies = [(10 + i, i) for i in range(9)] + [(30, 0)]
+    norm = {
+        "jobs": spark.createDataFrame([(j, c, "2024-01-01" if d else None) for j, c, d in jobs], "id long, company_id long, p string")
+            .select("id", "company_id", F.col("p").cast("timestamp_ntz").alias("publication_date")),
+        "jobs_locations": spark.createDataFrame(linked, "job_id long, location_id long"),
+        "salaries": spark.createDataFrame(paid, "company_id long, location_id long, salary_min double, salary_max double"),
+        "locations": spark.createDataFrame(places, "id long, city string, subdivision_code string, country_code string"),
+    }
+    dims = {
+        "dim_locations": spark.createDataFrame(dim_places, "location_key long, city string, state string, country string"),
+        "dim_date": spark.createDataFrame([(1, "2024-01-01")], "date_key long, d string").select("date_key", F.col("d").cast("date").alias("full_date")),
+        "dim_companies": spark.createDataFrame(dim_companies, "company_key long, company_id long"),
+        "dim_jobs": spark.createDataFrame(dim_jobs, "job_key long, job_id long"),
+    }
+    bounds = {}
+    for c, p, low, high in paid:
+        if c is not None and p is not None and (low, high) != (None, None):
+            bounds.setdefault((c, p), set()).add((low, high))
+    if not every_salary:
+        least = {k: min((x for x, _ in v if x is not None), default=None) for k, v in bounds.items()}
+        most = {k: max((x for _, x in v if x is not None), default=None) for k, v in bounds.items()}
+        bounds = {k: {(least[k], most[k])} for k in bounds}
+    keys_of = {i: {k for k, c, s, t in dim_places if t and (c.lower(), s, t) == place_keys[i]} or {None} for i in place_keys}
+    want = {
+        (k, ck, lk, 1 if d else None, *b)
+        for j, c, d in jobs for x, p in linked if x == j for b in bounds.get((c, p), ())
+        for ck, cc in dim_companies if cc == c for k, kj in dim_jobs if kj == j for lk in keys_of[p]
+    }
+    kept = []
+
+    def keep(name, rows):
+        kept.append(name)
+        rows.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{tmp_path}/{name}")
+
+    for stored in (None, keep):
+        got = legacy.fact_job_postings(norm, dims, every_salary, stored).collect()
+        assert len({g.fact_id for g in got}) == len(got)
+        assert sorted((tuple(g)[1:] for g in got), key=str) == sorted(want, key=str) and len(want) > 300
+    assert kept == ["fact_priced", "fact_rows"]
+
+
+def test_dim_jobs_in_parts_are_the_same_rows(spark):
+    jobs = spark.createDataFrame([(i % 900, f"n{i % 7}", None) for i in range(1000)], "id long, name string, level string")
+    linked = spark.createDataFrame([(i, i % 3) for i in range(900)] + [(i, 1) for i in range(900)], "job_id long, category_id long")
+    categories = spark.createDataFrame([(0, "a"), (1, "b")], "id long, name string")
+    whole = legacy.dim_jobs(jobs, linked, categories)
+    parts = [legacy.dim_jobs(jobs, linked, categories, n, 3) for n in range(3)]
+    shown = [sorted(map(tuple, d.drop("job_key").collect()), key=str) for d in (whole, *parts)]
+    assert all(shown) and sorted(sum(shown[1:], []), key=str) == shown[0]
+    ids = [{r.job_key for r in d.select("job_key").collect()} for d in (whole, *parts)]
+    assert ids[0] == set().union(*ids[1:]) and len(ids[0]) == len(shown[0])

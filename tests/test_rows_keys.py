@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -42,6 +43,20 @@ def test_ids_are_unique_stable_and_above(spark):
     assert ids == {r.k: r.n for r in again}
 
 
+def test_ids_are_ranks_in_digest_buckets_however_they_are_written(spark):
+    df = spark.range(30_000).select(F.col("id").cast("string").alias("k"), F.lit(None).cast("string").alias("v"))
+    digests = sorted((hashlib.md5(str(i).encode()).hexdigest(), str(i)) for i in range(30_000))
+    want, ranks = {}, {}
+    for digest, k in digests:
+        ranks[digest[:5]] = ranks.get(digest[:5], 0) + 1
+        want[k] = (ranks[digest[:5]] - 1) * (1 << 20) + int(digest[:5], 16) + 1
+    assert max(ranks.values()) > 1
+    assert {r.k: r.n for r in keys.with_ids(df, ["k", "v"], "n").collect()} == want
+    parts = [keys.with_ids(df.where(keys.bucket_part(["k", "v"], i, 3)), ["k", "v"], "n").collect() for i in range(3)]
+    assert all(parts) and {r.k: r.n for part in parts for r in part} == want
+    assert sum(map(len, parts)) == 30_000
+
+
 def test_ids_continue_after_a_table(spark):
     table = spark.createDataFrame([(7,), (90_000,)], "id bigint")
     df = spark.createDataFrame([("a",), (None,)], "k string")

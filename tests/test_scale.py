@@ -113,6 +113,44 @@ def test_numbering_is_one_shuffle(spark):
     assert plan.count("Exchange") == 1 and "SinglePartition" not in plan
 
 
+def test_numbering_shuffles_eight_bytes_of_the_digest(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey")
+    sizes = keys.with_ids(df, ["o_orderkey"], "id")._jdf.queryExecution().sparkPlan()
+    while "Window" not in sizes.nodeName():
+        sizes = sizes.children().apply(0)
+    shuffled = sizes.children().apply(0).schema()
+    assert [shuffled.apply(i).dataType().simpleString() for i in range(shuffled.size())] == ["bigint", "binary", "bigint"]
+
+
+def test_postings_of_the_older_fact_are_shuffled_only_where_they_may_be_paid(no_broadcast):
+    spark, kept = no_broadcast, {}
+    rows = [(i, i % 50, i % 3) for i in range(1000)]
+    norm = {
+        "jobs": spark.createDataFrame([(j, c, None) for j, c, _ in rows], "id long, company_id long, publication_date timestamp_ntz"),
+        "jobs_locations": spark.createDataFrame([(j, p) for j, _, _ in rows for p in range(20)], "job_id long, location_id long"),
+        "salaries": spark.createDataFrame([(c, c % 20, 1.0, None) for c in range(50)], "company_id long, location_id long, salary_min double, salary_max double"),
+        "locations": spark.createDataFrame([(p, f"c{p}", "s", "t") for p in range(20)], "id long, city string, subdivision_code string, country_code string"),
+    }
+    dims = {
+        "dim_locations": norm["locations"].toDF("location_key", "city", "state", "country"),
+        "dim_date": spark.createDataFrame([], "date_key long, full_date date"),
+        "dim_companies": spark.range(50).selectExpr("id AS company_key", "id AS company_id"),
+        "dim_jobs": spark.range(1000).selectExpr("id AS job_key", "id AS job_id"),
+    }
+
+    def keep(name, df):
+        kept[name] = df
+        return df
+
+    fact = legacy.fact_job_postings(norm, dims, every_salary=True, keep=keep)
+    assert fact.count() == 1000
+    final = final_plan(kept["fact_rows"])
+    assert "hashpartitioning(job_key" not in final  # distinct where the rows lie
+    plan = kept["fact_priced"]._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert len(joins) == 3 and "& " in joins[1] and "shiftleft" in joins[1]  # jobs with their places
+
+
 def test_the_salary_dimension_is_joined_after_the_sums(no_broadcast):
     from workload.postings import model
 

@@ -14,7 +14,7 @@ from jobgrain.functions.listtext import (
 )
 from jobgrain.operators.joins import lookup
 from jobgrain.plans import legacy
-from jobgrain.session import shared_dir
+from jobgrain.session import releasing_shuffles, shared_dir
 from workload.common import table
 
 QUERIES, SQL = {}, {}
@@ -234,6 +234,15 @@ def text_places_whole(spark, sf):
 
 _built: dict[tuple, dict] = {}
 
+PARTS = {"dim_jobs": 2, "fact_with_jobs": 4}  # of the largest tables, written one after the other
+
+
+def _stored(spark, path, *parts):
+    with releasing_shuffles(spark):
+        for n, df in enumerate(parts):
+            df.write.mode("append" if n else "overwrite").option("compression", "zstd").parquet(path)
+    return spark.read.schema(parts[0].schema).parquet(path)
+
 
 def tables(spark, sf):
     key = (spark.sparkContext.applicationId, sf)
@@ -242,9 +251,8 @@ def tables(spark, sf):
     root = shared_dir(spark, "oldlayers")
     done = {}
 
-    def keep(name, df):
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
-        done[name] = spark.read.schema(df.schema).parquet(f"{root}/{name}")
+    def keep(name, *parts):
+        done[name] = _stored(spark, f"{root}/{name}", *parts)
         return done[name]
 
     rc, rj, rs = (_raw(spark, sf, n) for n in ("companies", "jobs", "salaries"))
@@ -267,7 +275,8 @@ def tables(spark, sf):
     keep("jobs_locations", legacy.location_bridge(rj, "job_name", jobs, locations, "job_id"))
     keep("salaries", legacy.salaries(rs, companies, locations))
     keep("dim_companies", legacy.dim_companies(companies, ci, industries))
-    keep("dim_jobs", legacy.dim_jobs(jobs, jc, categories))
+    parts = PARTS["dim_jobs"]
+    keep("dim_jobs", *[legacy.dim_jobs(jobs, jc, categories, n, parts) for n in range(parts)])
     keep("dim_locations", legacy.dim_locations(locations))
     keep("dim_date", legacy.dim_date(jobs, companies))
     _built[key] = done
@@ -382,7 +391,14 @@ def old_dim_date(spark, sf):
 @query(_sql("SELECT * FROM fact"))
 def old_fact(spark, sf):
     t = tables(spark, sf)
-    return _shown(legacy.fact_job_postings(t, t, every_salary=True), t)
+    if "fact" not in t:
+        root = shared_dir(spark, "oldfact")
+
+        def keep(name, *parts):
+            return _stored(spark, f"{root}/{name}", *parts)
+
+        t["fact"] = _shown(legacy.fact_job_postings(t, t, every_salary=True, keep=keep), t, keep)
+    return t["fact"]
 
 
 @query(
@@ -396,15 +412,25 @@ def old_fact_bounds(spark, sf):
     return _shown(legacy.fact_job_postings(t, t), t)
 
 
-def _shown(fact, t):
-    """Names in place of keys."""
+def _parts(rows, key, parts):
+    return [rows.where(F.pmod(F.hash(key), F.lit(parts)) == n) for n in range(parts)]
+
+
+def _shown(fact, t, keep=None):
+    """Names in place of keys. With `keep` the largest lookup is stored in parts by key."""
     for dim, key, take in [
         ("dim_jobs", "job_key", {"job_id": "job_id", "category": "category"}),
         ("dim_companies", "company_key", {"company_id": "company_id", "industry": "industry"}),
         ("dim_locations", "location_key", {"city": "city", "state": "state", "country": "country"}),
         ("dim_date", "date_key", {"full_date": "publication_date"}),
     ]:
-        fact = lookup(fact, t[dim], [(key, key)], take, "left")
+        if keep and dim == "dim_jobs":
+            name = "fact_with_jobs"
+            sides = zip(_parts(fact, key, PARTS[name]), _parts(t[dim], key, PARTS[name]), strict=True)
+            found = [lookup(rows, names, [(key, key)], take, "left") for rows, names in sides]
+            fact = keep(name, *[rows.drop("fact_id", key) for rows in found])
+        else:
+            fact = lookup(fact, t[dim], [(key, key)], take, "left")
     return fact.select(
         "job_id", "category", "company_id", "industry", "city", "state", "country",
         "publication_date", "salary_min", "salary_max",
